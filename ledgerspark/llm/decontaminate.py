@@ -33,7 +33,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,14 +225,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return found if found is not None else spark.createDataFrame([], schema)
 
 
+def _is_clean(text: Column, shared: Broadcast, overlap: float, part_overlap: float) -> Column:
+    @F.pandas_udf(T.BooleanType())
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not items for items in shared.value.matches(texts, overlap, part_overlap)], dtype=bool)
+
+    return clean(text)
+
+
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.5, overlap: float = 0.8, part_overlap: float = 0.5, **items) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
     for index in indexes(benchmark, threshold, **items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf(T.BooleanType())
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not items for items in shared.value.matches(texts, overlap, part_overlap)], dtype=bool)
-
-        docs = docs.filter(clean(F.col(text_col)))
+        docs = docs.filter(_is_clean(F.col(text_col), shared, overlap, part_overlap))
     return docs
