@@ -81,8 +81,8 @@ def treasury_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ROOT_SQL = """
-both AS (SELECT frm AS a, dst AS b FROM r1 UNION SELECT dst, frm FROM r1),
-reach(a, b) AS (SELECT a, a FROM both UNION SELECT reach.a, both.b FROM reach JOIN both ON reach.b = both.a),
+bi AS (SELECT frm AS a, dst AS b FROM r1 UNION SELECT dst, frm FROM r1),
+reach(a, b) AS (SELECT a, a FROM bi UNION SELECT reach.a, bi.b FROM reach JOIN bi ON reach.b = bi.a),
 root AS (SELECT a AS addr, min(b) AS root FROM reach GROUP BY a)
 """
 

@@ -114,7 +114,7 @@ def equal_amount_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FLOWS_SQL = """
 fl AS (SELECT * FROM e WHERE v > 0 AND frm <> dst),
-tot AS (SELECT CAST(sum(v) AS BIGINT) AS total FROM e)
+tot AS (SELECT CAST(sum(v) AS BIGINT) AS grand FROM e)
 """
 
 
@@ -126,7 +126,7 @@ def _least(rows: DataFrame, permille: int) -> int:
 @register(
     f"""WITH k AS (SELECT DISTINCT dst, ts FROM fl),
     w AS (SELECT k.dst, k.ts, sum(v) AS total, count(DISTINCT frm) AS members FROM k JOIN fl ON k.dst = fl.dst AND fl.ts BETWEEN k.ts - {WEEK} AND k.ts GROUP BY ALL),
-    b AS (SELECT dst, arg_max((ts, total, members), (total, -ts)) AS x FROM w, tot WHERE w.total >= tot.total * 4 // 1000 AND members >= 5 GROUP BY dst),
+    b AS (SELECT dst, arg_max((ts, total, members), (total, -ts)) AS x FROM w, tot WHERE w.total >= grand * 4 // 1000 AND members >= 5 GROUP BY dst),
     i AS (SELECT dst AS addr, sum(v) AS got FROM fl GROUP BY dst), o AS (SELECT frm AS addr, sum(v) AS sent FROM fl GROUP BY frm)
     SELECT dst AS addr, x[1] AS window_end, CAST(x[2] AS BIGINT) AS total, x[3] AS members, CAST(got - coalesce(sent, 0) AS BIGINT) AS net_inflow FROM b JOIN i ON i.addr = dst LEFT JOIN o ON o.addr = dst""",
     FLOW_SQL,
@@ -141,7 +141,7 @@ def sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPRAY_SQL = """
 k AS (SELECT DISTINCT frm, ts FROM {rows}),
 w AS (SELECT k.frm, k.ts, sum(v) AS total, count(DISTINCT dst) AS members FROM k JOIN {rows} r ON k.frm = r.frm AND r.ts BETWEEN k.ts - {width} AND k.ts GROUP BY ALL),
-b AS (SELECT frm, arg_max((ts, total, members), (total, -ts)) AS x FROM w, tot WHERE w.total >= tot.total * {permille} // 1000 AND members >= {members} GROUP BY frm)
+b AS (SELECT frm, arg_max((ts, total, members), (total, -ts)) AS x FROM w, tot WHERE w.total >= grand * {permille} // 1000 AND members >= {members} GROUP BY frm)
 SELECT frm AS addr, x[1] AS window_end, CAST(x[2] AS BIGINT) AS total, x[3] AS members FROM b
 """
 
@@ -161,7 +161,7 @@ def sprays_pulse_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(scanners.sprays(event_flow(spark, sf_dir), "ts", FORTNIGHT, 0, 1, fresh_only=True), "total", "members")
 
 
-@register("WITH p AS (SELECT frm, dst, sum(v) AS v FROM fl GROUP BY ALL) SELECT frm AS addr, CAST(sum(v) AS BIGINT) AS total, count(*) AS members FROM p, tot GROUP BY frm, tot.total HAVING sum(v) >= tot.total * 6 // 1000 AND count(*) >= 30", FLOW_SQL, FLOWS_SQL)
+@register("WITH p AS (SELECT frm, dst, sum(v) AS v FROM fl GROUP BY ALL) SELECT frm AS addr, CAST(sum(v) AS BIGINT) AS total, count(*) AS members FROM p, tot GROUP BY frm, grand HAVING sum(v) >= grand * 6 // 1000 AND count(*) >= 30", FLOW_SQL, FLOWS_SQL)
 def sprays_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_flow(spark, sf_dir)
     return longs(scanners.slow_sprays(rows, _least(rows, 6), 30), "total")
