@@ -136,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Models of all rows of ``docs``; target rows have a positive label."""
     good = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).groupBy("id").agg((F.max("label") > 0).alias("is_target"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    marked = rows.join(good, "id", "left").select(fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
+    # Labels grow with the corpus, so they are shuffled at every size and never broadcast.
+    marked = rows.join(good.hint("merge"), "id", "left").select(fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
     table: pa.Table = slot_counts(marked, words, pairs).toArrow()
     counts = {c: np.zeros((2, 2 * words + pairs), dtype=np.float32) for c in ("target", "background")}
     for batch in table.to_batches():
