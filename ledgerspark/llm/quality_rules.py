@@ -131,11 +131,12 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Measures of every row with ``base_failed`` and ``kept``."""
-    return measures(docs, id_col, text_col).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    judged = measures(docs, id_col, text_col).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    # A filter on a result would be pushed below the measures, with all their expressions copied into it; a generator stops it.
+    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
 def kept_rows(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns. The whole row rides along as the id: no join."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    # A filter on ``kept`` would be pushed below the measures, with all their expressions copied into it; a generator isn't.
-    return judge(row, "row", "text", rules).select(F.inline(F.filter(F.array("row"), lambda _: F.col("kept"))))
+    return judge(row, "row", "text", rules).filter("kept").select("row.*")

@@ -109,8 +109,8 @@ _STOP = ", ".join("'" + w + "'" for w in sorted(set(quality_rules.STOP_WORDS.spl
 OP9_SQL = f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body,
-    list_filter(string_split_regex(coalesce(text, ''), '[ \\x09-\\x0D]+'), x -> x <> '') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \\x09-\\x0D]')) AS l
+    list_filter(string_split_regex(coalesce(text, ''), '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\x09-\\x0D]')) AS l
   FROM documents),
 m AS (
   SELECT r, doc_id, len(w) AS n_words, len(l) AS n_lines,
@@ -118,7 +118,7 @@ m AS (
     length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     length(body) - length(regexp_replace(body, '[!?]', '', 'g')) AS n_marks,
     len(l) - len(list_distinct(l)) AS n_dup_lines,
-    len(list_filter(w, x -> lower(x) IN ({_STOP}))) AS n_stop
+    len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop
   FROM d),
 g AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
 t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS c FROM g) WHERE c > 1),
