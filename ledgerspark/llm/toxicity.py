@@ -25,7 +25,8 @@ not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,16 +36,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1 << 16
+#: Tokens that are hashed at once.
+TOKENS_AT_ONCE = 50_000
 #: Tokens whose scores a worker remembers before it starts anew.
 REMEMBERED = 400_000
 _EDGES = ".,;:!?\"'()[]{}<>|#$%&*_~`-"
 
 
-def subwords(token: str, buckets: int, shortest: int = 3, longest: int = 6) -> list[int]:
-    """Hashed character n-grams of a token, with word marks, and the token itself."""
-    word = f"<{token.lower().strip(_EDGES)}>"
-    grams = {word, *(word[i : i + n] for n in range(shortest, longest + 1) for i in range(len(word) - n + 1))}
-    return sorted(zlib.crc32(g.encode("utf-8", "surrogatepass")) % buckets for g in grams)
+def hashed(tokens: list[str], buckets: int, shortest: int = 3, longest: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """(token number, bucket) of every character n-gram of the tokens, with word marks, and of each token itself.
+
+    The n-grams of all tokens are hashed together: one polynomial step a length.
+    """
+    words = [f"<{t.lower().strip(_EDGES)}>" for t in tokens]
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
+    owners = [np.arange(len(words), dtype=np.int32)]
+    slots = [np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), dtype=np.int64, count=len(words)) % buckets]
+    state = np.zeros(len(codes), dtype=np.uint64)
+    for n in range(1, longest + 1):
+        last = len(codes) - n + 1
+        state = state[: max(0, last)] * np.uint64(0x100000001B3) + codes[n - 1 :] + np.uint64(1)
+        if n >= shortest:
+            fits = room[: len(state)] >= n
+            mixed = (state[fits] ^ (state[fits] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            owners.append(owner[: len(state)][fits])
+            slots.append(((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64))
+    return np.concatenate(owners), np.concatenate(slots)
 
 
 def tokens_of(text: str | None) -> list[str]:
@@ -70,28 +90,46 @@ class Model:
     width: int
     seen: dict[str, float] = field(default_factory=dict)
 
-    def token(self, token: str) -> float:
-        return float(self.weights[subwords(token, len(self.weights))].mean())
+    def values(self, tokens: list[str]) -> np.ndarray:
+        """Mean weight of the n-grams of each token."""
+        owner, slot = hashed(tokens, len(self.weights))
+        return np.bincount(owner, weights=self.weights[slot], minlength=len(tokens)) / np.bincount(owner, minlength=len(tokens))
+
+    def scores(self, texts: Iterable[str | None]) -> list[float]:
+        """Probability of the toxic class in the worst window of each whole text."""
+        out: list[float] = []
+        held: list[list[str]] = []
+        count = 0
+        for text in texts:
+            held.append(tokens_of(text))
+            count += len(held[-1])
+            if count >= TOKENS_AT_ONCE:
+                out += self._scored(held)
+                held, count = [], 0
+        return out + self._scored(held)
+
+    def _scored(self, texts: list[list[str]]) -> list[float]:
+        seen = self.seen
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        new = list({t for tokens in texts for t in tokens if t not in seen})
+        for k in range(0, len(new), TOKENS_AT_ONCE):
+            part = new[k : k + TOKENS_AT_ONCE]
+            seen.update(zip(part, self.values(part).tolist(), strict=True))
+        out = []
+        for tokens in texts:
+            sums = np.zeros(len(tokens) + 1)
+            np.cumsum(np.fromiter(map(seen.__getitem__, tokens), dtype=np.float64, count=len(tokens)), out=sums[1:])
+            first, end = window_bounds(len(tokens), self.width)
+            worst = ((sums[end] - sums[first]) / np.maximum(end - first, self.width // 2)).max()
+            out.append(float(1 / (1 + np.exp(-np.clip(worst + self.bias, -40, 40)))))
+        for t in new:
+            if len(t) >= 64:
+                del seen[t]
+        return out
 
     def score(self, text: str | None) -> float:
-        """Probability of the toxic class in the worst window of the whole text."""
-        tokens = tokens_of(text)
-        if not tokens:
-            return float(1 / (1 + np.exp(-self.bias)))
-        if len(self.seen) > REMEMBERED:
-            self.seen.clear()
-        values, seen = np.empty(len(tokens)), self.seen
-        for k, token in enumerate(tokens):
-            value = seen.get(token)
-            if value is None:
-                value = self.token(token)
-                if len(token) < 64:
-                    seen[token] = value
-            values[k] = value
-        sums = np.concatenate(([0.0], np.cumsum(values)))
-        first, end = window_bounds(len(tokens), self.width)
-        worst = ((sums[end] - sums[first]) / np.maximum(end - first, self.width // 2)).max()
-        return float(1 / (1 + np.exp(-np.clip(worst + self.bias, -40, 40))))
+        return self.scores([text])[0]
 
 
 def train(texts: list[str | None], labels: list[int], buckets: int = BUCKETS, dim: int = 8, width: int = 32, warm: int = 50, steps: int = 70, rate: float = 0.3, floor: float = 0.01, decay: float = 1e-3, seed: int = 7) -> Model:
@@ -104,16 +142,32 @@ def train(texts: list[str | None], labels: list[int], buckets: int = BUCKETS, di
     if not len(y) or y.min() == y.max():
         base = float(y[0]) if len(y) else 0.0
         return Model(np.zeros(buckets), 40.0 if base else -40.0, width)
+    # Flat arrays of 32-bit numbers: lists of Python numbers would take ten times the memory of the driver.
     number: dict[str, int] = {}
-    docs = [np.array([number.setdefault(t, len(number)) for t in tokens_of(text)], dtype=np.int64) for text in texts]
-    grams = [subwords(t, buckets) for t in number]
-    size = np.array([len(g) for g in grams], dtype=np.int64)
-    gram, word = np.concatenate([np.array(g) for g in grams]), np.repeat(np.arange(len(grams)), size)
-
-    tokens = np.concatenate(docs)
-    begin = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
-    bounds = [window_bounds(len(d), width) for d in docs]
-    owner = np.repeat(np.arange(len(docs)), [len(b[0]) for b in bounds])
+    flat, lengths = array("i"), []
+    for text in texts:
+        own = tokens_of(text)
+        flat.extend(number.setdefault(t, len(number)) for t in own)
+        lengths.append(len(own))
+    if not flat:
+        return Model(np.zeros(buckets), float(np.log(y.mean() / (1 - y.mean()))), width)
+    tokens = np.frombuffer(flat, dtype=np.int32)
+    words, grams = list(number), len(number)
+    del number
+    # Words whose n-grams are worked on at once: a bound on the memory of a step.
+    parts = [(k, min(k + TOKENS_AT_ONCE, grams)) for k in range(0, grams, TOKENS_AT_ONCE)]
+    gram, size = array("i"), np.empty(grams, dtype=np.int64)
+    for p, q in parts:
+        owner_of, slot = hashed(words[p:q], buckets)
+        gram.frombytes(slot[np.argsort(owner_of, kind="stable")].astype(np.int32).tobytes())
+        size[p:q] = np.bincount(owner_of, minlength=q - p)
+    gram = np.frombuffer(gram, dtype=np.int32)
+    del words
+    starts = np.concatenate(([0], np.cumsum(size)))
+
+    begin = np.concatenate(([0], np.cumsum(lengths)))
+    bounds = [window_bounds(n, width) for n in lengths]
+    owner = np.repeat(np.arange(len(lengths)), [len(b[0]) for b in bounds])
     first = np.concatenate([b[0] for b in bounds]) + begin[owner]
     end = np.concatenate([b[1] for b in bounds]) + begin[owner]
     opening = np.concatenate(([0], np.cumsum([len(b[0]) for b in bounds])))[:-1]
@@ -126,14 +180,15 @@ def train(texts: list[str | None], labels: list[int], buckets: int = BUCKETS, di
 
     for step in range(1, warm + steps + 1):
         weight = table @ (softmax[1] - softmax[0])
-        value = np.bincount(word, weights=weight[gram]) / size
-        sums = np.concatenate(([0.0], np.cumsum(value[tokens])))
+        value = np.concatenate([np.add.reduceat(weight[gram[starts[p] : starts[q]]], starts[p:q] - starts[p]) for p, q in parts]) / size
+        sums = np.zeros(len(tokens) + 1)
+        np.cumsum(value[tokens], out=sums[1:])
         if step <= warm:
             a, e = begin[:-1], begin[1:]
         else:
             mean = (sums[end] - sums[first]) / np.maximum(end - first, width // 2)
             top = np.maximum.reduceat(mean, opening)
-            best = np.full(len(docs), -1)
+            best = np.full(len(lengths), -1)
             hit = np.flatnonzero(mean == top[owner])[::-1]
             best[owner[hit]] = hit
             a, e = first[best], end[best]
@@ -144,8 +199,8 @@ def train(texts: list[str | None], labels: list[int], buckets: int = BUCKETS, di
         share = np.zeros(len(tokens) + 1)
         np.add.at(share, a, wrong / n)
         np.add.at(share, e, -wrong / n)
-        by_word = np.bincount(tokens, weights=np.cumsum(share)[:-1], minlength=len(grams)) / size
-        by_gram = np.bincount(gram, weights=by_word[word], minlength=buckets) / len(y)
+        by_word = np.bincount(tokens, weights=np.cumsum(share, out=share)[:-1], minlength=grams) / size
+        by_gram = sum(np.bincount(gram[starts[p] : starts[q]], weights=np.repeat(by_word[p:q], size[p:q]), minlength=buckets) for p, q in parts) / len(y)
         pull = by_gram @ table
         slope = wrong.mean()
         gradients = (np.outer(by_gram, softmax[1] - softmax[0]) + decay * table / buckets, np.stack([-pull, pull]) + decay * softmax / buckets, np.array([-slope, slope]))
@@ -187,7 +242,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "score": [model.score(x) for x in batch["text"]]})
+            yield pd.DataFrame({"id": batch["id"], "score": model.scores(batch["text"])})
 
     scored = rows.mapInPandas(work, schema)
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
