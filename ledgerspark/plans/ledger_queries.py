@@ -10,7 +10,6 @@ from ledgerspark.operators import ledger
 from ledgerspark.plans.registry import longs, register
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, account, camps, entities, event_flow, exchanges, table, trade_ledger
 
-BLOCK = F.col("block")
 
 
 @register("SELECT addr, bal AS balance FROM bal", TRADE_SQL)
@@ -110,7 +109,7 @@ db AS (SELECT addr, max(close) AS peak_close, max(most) AS bound FROM dc GROUP B
     DAILY_SQL,
 )
 def daily_peaks_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(ledger.daily_bounds(ledger.daily_deltas(trade_ledger(spark, sf_dir), BLOCK)), "peak_close", "bound", "final")
+    return longs(ledger.daily_bounds(ledger.daily_deltas(trade_ledger(spark, sf_dir), F.col("block"))), "peak_close", "bound", "final")
 
 
 LEVELS = list(range(51_000_000, 70_000_000, 1_000_000))
@@ -118,7 +117,7 @@ LEVELS = list(range(51_000_000, 70_000_000, 1_000_000))
 
 @register(f"SELECT addr, CAST(level AS BIGINT) AS level FROM db, (SELECT unnest({LEVELS}) AS level) WHERE peak_close < level AND level <= bound", TRADE_SQL, DAILY_SQL)
 def needs_block_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = ledger.daily_bounds(ledger.daily_deltas(trade_ledger(spark, sf_dir), BLOCK))
+    bounds = ledger.daily_bounds(ledger.daily_deltas(trade_ledger(spark, sf_dir), F.col("block")))
     return longs(ledger.needs_block_precision(bounds, LEVELS), "level")
 
 
@@ -143,7 +142,7 @@ sn AS (SELECT day, delta, sum(delta) OVER (ORDER BY day) AS net FROM sd)
 
 @register("SELECT day, CAST(delta AS BIGINT) AS delta, CAST(net AS BIGINT) AS net FROM sn", TRADE_SQL, SUPPLY_SQL)
 def supply_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(ledger.supply_daily(trade_ledger(spark, sf_dir), BLOCK), "delta", "net")
+    return longs(ledger.supply_daily(trade_ledger(spark, sf_dir), F.col("block")), "delta", "net")
 
 
 @register(
@@ -156,8 +155,8 @@ def supply_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def camp_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = trade_ledger(spark, sf_dir)
-    series = ledger.group_series(ledger.daily_deltas(rows, BLOCK), camps(spark, sf_dir), "camp")
-    return longs(ledger.group_share(series, ledger.supply_daily(rows, BLOCK), "camp"), "delta", "balance", "net")
+    series = ledger.group_series(ledger.daily_deltas(rows, F.col("block")), camps(spark, sf_dir), "camp")
+    return longs(ledger.group_share(series, ledger.supply_daily(rows, F.col("block")), "camp"), "delta", "balance", "net")
 
 
 @register(
@@ -166,7 +165,7 @@ def camp_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     TRADE_SQL,
 )
 def entity_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(ledger.group_series(ledger.daily_deltas(trade_ledger(spark, sf_dir), BLOCK), entities(spark, sf_dir), "entity"), "delta", "balance")
+    return longs(ledger.group_series(ledger.daily_deltas(trade_ledger(spark, sf_dir), F.col("block")), entities(spark, sf_dir), "entity"), "delta", "balance")
 
 
 CEX_SQL = """
@@ -179,7 +178,7 @@ def _exchange_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = exchanges(spark, sf_dir)
     rows = trade_ledger(spark, sf_dir).join(hot.withColumn("sends", F.lit(True)).withColumnRenamed("addr", "frm"), "frm", "left")
     rows = rows.join(hot.withColumn("takes", F.lit(True)).withColumnRenamed("addr", "dst"), "dst", "left").filter("sends or takes")
-    return rows.select(BLOCK.alias("day"), F.when(F.col("sends") & F.col("takes"), "internal").when(F.col("sends"), "out").otherwise("in").alias("kind"), "v")
+    return rows.select(F.col("block").alias("day"), F.when(F.col("sends") & F.col("takes"), "internal").when(F.col("sends"), "out").otherwise("in").alias("kind"), "v")
 
 
 @register("SELECT day, kind, count(*) AS n, CAST(sum(v) AS BIGINT) AS amount FROM cf GROUP BY ALL", TRADE_SQL, CEX_SQL)
@@ -209,7 +208,7 @@ def treasury_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One account's days: in, out, large movements and balance."""
     own = trade_ledger(spark, sf_dir).filter("dst = 'S1' or frm = 'S1'")
     into, out = F.when(F.col("dst") == "S1", F.col("v")).otherwise(0), F.when(F.col("frm") == "S1", F.col("v")).otherwise(0)
-    days = own.groupBy(BLOCK.alias("day")).agg(F.sum(into).alias("inflow"), F.sum(out).alias("outflow"), F.count_if(F.col("v") >= 5_000_000).alias("large"))
+    days = own.groupBy(F.col("block").alias("day")).agg(F.sum(into).alias("inflow"), F.sum(out).alias("outflow"), F.count_if(F.col("v") >= 5_000_000).alias("large"))
     return longs(days.withColumn("balance", F.sum(F.col("inflow") - F.col("outflow")).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0))), "inflow", "outflow", "balance")
 
 
@@ -229,7 +228,7 @@ def key_balances_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = rows.select("block").distinct().crossJoin(F.broadcast(top))
     filled = grid.join(own, ["addr", "block"], "left").withColumn("x", F.coalesce("x", F.lit(0)))
     running = F.sum("x").over(Window.partitionBy("addr").orderBy("block").rowsBetween(Window.unboundedPreceding, 0))
-    return longs(filled.select("addr", BLOCK.alias("day"), running.alias("balance")), "balance")
+    return longs(filled.select("addr", F.col("block").alias("day"), running.alias("balance")), "balance")
 
 
 @register(
@@ -239,7 +238,7 @@ def key_balances_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     DAILY_SQL,
 )
 def negative_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.negative_gate(ledger.daily_deltas(trade_ledger(spark, sf_dir), BLOCK))
+    return ledger.negative_gate(ledger.daily_deltas(trade_ledger(spark, sf_dir), F.col("block")))
 
 
 @register(
@@ -251,6 +250,6 @@ def holdings_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days on which a holding fell by at least the threshold, from point-wise differences."""
     from ledgerspark.functions.prefix import prefix_sums
 
-    daily = ledger.daily_deltas(trade_ledger(spark, sf_dir), BLOCK)
+    daily = ledger.daily_deltas(trade_ledger(spark, sf_dir), F.col("block"))
     closes = prefix_sums(daily, "addr", "day", "delta", "balance")
     return longs(closes.filter("delta <= -10000000").select("addr", "day", (-F.col("delta")).alias("dropped"), "balance"), "dropped", "balance")

@@ -9,7 +9,6 @@ from ledgerspark.operators import graph, ledger, scanners
 from ledgerspark.plans.registry import longs, register
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, event_flow, trade_ledger
 
-BLOCK = F.col("block")
 WEEK, FORTNIGHT = 7 * 86400, 14 * 86400
 
 SUMMARY_SQL = """
@@ -23,7 +22,7 @@ su AS (SELECT dp.addr, any_value(peak) AS peak, min(day) FILTER (close = peak) A
 
 def _daily(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = trade_ledger(spark, sf_dir)
-    return rows, ledger.daily_deltas(rows, BLOCK)
+    return rows, ledger.daily_deltas(rows, F.col("block"))
 
 
 @register("SELECT addr, CAST(peak AS BIGINT) AS peak, peak_day, CAST(least AS BIGINT) AS least, CAST(final AS BIGINT) AS final, last_day, first_day FROM su", TRADE_SQL, SUMMARY_SQL)
