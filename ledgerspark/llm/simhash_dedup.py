@@ -91,6 +91,7 @@ def _close(a: Column, b: Column, radius: int) -> Column:
 def forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between distinct fingerprints."""
     values = np.unique(values)
+    bits = values.view(np.uint64)  # numpy counts the bits of a signed number's absolute value
     root = np.arange(len(values))
 
     def find(i: int) -> int:
@@ -101,7 +102,7 @@ def forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
     edges = []
     for i in range(len(values) - 1):
-        for j in i + 1 + np.flatnonzero(np.bitwise_count(values[i + 1 :] ^ values[i]) <= radius):
+        for j in i + 1 + np.flatnonzero(np.bitwise_count(bits[i + 1 :] ^ bits[i]) <= radius):
             a, b = find(i), find(int(j))
             if a != b:
                 root[max(a, b)] = min(a, b)

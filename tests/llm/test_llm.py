@@ -147,6 +147,21 @@ def test_simhash_large_buckets(spark, pairwise):
         assert roots.get(x, x) == min(reach)
 
 
+def test_simhash_forest_in_every_bit():
+    for bit in range(64):
+        pair = np.array([3, 3 ^ (1 << bit)], dtype=np.uint64).view(np.int64)
+        assert len(simhash_dedup.forest(pair, 1)) == 1 and not simhash_dedup.forest(pair, 0)
+    values = np.array([0, 1, 2**63 | 2, 2**63 | 3], dtype=np.uint64).view(np.int64)
+    assert len(simhash_dedup.forest(values, 4)) == 3
+
+
+@pytest.mark.parametrize("pairwise", [2, 4096])
+def test_simhash_links_over_the_top_bit(spark, pairwise):
+    prints = [simhash_dedup._signed(x) for x in (0, 1, 2**63 | 2, 2**63 | 3)]
+    edges = simhash_dedup.links(spark.createDataFrame([(x,) for x in prints], "fp long"), pairwise=pairwise)
+    assert {(r["node"], r["root"]) for r in simhash_dedup.components(edges).collect()} == {(x, min(prints)) for x in prints}
+
+
 def test_simhash_awkward(awkward):
     rows = simhash_dedup.near_duplicates(awkward).collect()
     assert len(rows) == len(AWKWARD) and {r["component_id"] for r in rows if r["fingerprint"] == "0" * 16} == {1}
