@@ -11,8 +11,9 @@ score of all items in the block, so blocks below the threshold are skipped, and
 rest are scored item by item. Terms of many items have no lists; their part is granted. This is block-max WAND with a fixed threshold: there is no
 top-k, so nothing above the threshold is lost.
 
-A retrieved pair counts if runs of five words that it shares with the item cover enough
-of the item, of its question and of its answer. Items without separate columns are halved.
+Every retrieved window is verified. It counts if runs of five words that it shares with the
+item cover enough of the item, of its question and of its answer; a text and an item give
+one row, that of the verified window with the largest overlap. Items without separate columns are halved.
 
 The index is broadcast. Its size follows the test items, not the corpus; more than
 ``index_bytes`` of item text are split into that many indexes, which are applied in turn.
@@ -113,14 +114,14 @@ class Index:
             first[t + 1] = len(where)
         return Blocks(half, blocks, first, np.array(where, dtype=np.int64), np.array(most, dtype=np.float64), need)
 
-    def retrieve(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, int, int]]]:
-        """For each text, item -> (score, first word, end) of its best window, at or above the threshold.
+    def retrieve(self, texts: list[np.ndarray]) -> list[dict[int, list[tuple[float, int, int]]]]:
+        """For each text, item -> (score, first word, end) of every window at or above the threshold.
 
         A text is the term numbers of its words, -1 for words that no item has. Texts are
         laid end to end in halves of windows; a window at a seam may see two texts, which
         can only raise its bound.
         """
-        found: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
+        found: list[dict[int, list[tuple[float, int, int]]]] = [defaultdict(list) for _ in texts]
         for part in self.classes:
             halves = np.array([-(-len(x) // part.half) for x in texts], dtype=np.int64)
             begins = np.concatenate(([0], np.cumsum(halves)))
@@ -134,8 +135,8 @@ class Index:
                     here = set(texts[k][a:e].tolist())
                     for i in part.blocks[number]:
                         score = sum(share for t, share in self.shares[i].items() if t in here)
-                        if score >= self.threshold - 1e-9 and score > found[k].get(i, (0.0,))[0]:
-                            found[k][i] = (score, a, e)
+                        if score >= self.threshold - 1e-9:
+                            found[k][i].append((score, a, e))
                 at = stop
         return found
 
@@ -176,8 +177,13 @@ class Index:
         ids = [np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words)) for words in each]
         out = []
         for words, items in zip(each, self.retrieve(ids) if self.term else [{}] * len(each), strict=True):
-            held = ((i, score, *self.overlap(i, words[a:e])) for i, (score, a, e) in sorted(items.items()))
-            out.append([x for x in held if x[2] >= least and x[3] >= least_part and x[4] >= least_part])
+            out.append([])
+            for i, windows in sorted(items.items()):
+                held = ((score, *self.overlap(i, words[a:e])) for score, a, e in windows)
+                # Scores ignore the order of words, so each window is verified; the best verified one is told.
+                verified = [x for x in held if x[1] >= least and x[2] >= least_part and x[3] >= least_part]
+                if verified:
+                    out[-1].append((i, *max(verified, key=lambda x: (x[1:], x[0]))))
         return out
 
 

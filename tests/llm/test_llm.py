@@ -224,6 +224,24 @@ def test_decontamination_finds_planted_items(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_verifies_every_window(spark):
+    """Neither scattered words nor a cut copy in an earlier window hide the whole copy further on."""
+    item = "what is the boiling point of water at sea level answer one hundred degrees on the centigrade scale"
+    words = item.split()
+    shuffled = " ".join(words[::2] + words[1::2])
+    texts = {
+        1: f"{shuffled} {'filler ' * 130}{item}",
+        2: f"{item} {'filler ' * 130}{shuffled}",
+        3: f"{shuffled} {'filler ' * 130}{shuffled}",
+        4: f"{' '.join(words[-8:][::-1])} {'filler ' * 46}{item}{' filler' * 100}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    rows = decontaminate.contaminated(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["overlap"]) for r in rows} == {(1, 7, 1.0), (2, 7, 1.0), (4, 7, 1.0)} and len(rows) == 3
+    assert {r["doc_id"] for r in decontaminate.clean_rows(docs, bench).collect()} == {3}
+
+
 def test_decontamination_by_brute_force(spark, docs, texts):
     """Every benchmark item that a text holds word for word is found."""
     bench = duckdb.sql(f"SELECT item_id, text FROM '{SMALL}/benchmark.parquet'").fetchall()
