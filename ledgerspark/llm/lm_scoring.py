@@ -1,16 +1,25 @@
 """LM scoring by cross-entropy difference of two matched n-gram models.
 
 A target model (rows marked as target) and a background model (all rows) have the same
-order, the same smoothing and one shared vocabulary: words hashed into ``words`` slots and
-pairs of neighbours into ``pairs`` slots. A word's probability is its pair count over its
-context's count, with the unigram model as a Dirichlet prior of weight ``prior``. Each
-token adds the difference of its two losses (in nats); a document's score is their mean:
-the lower, the more it is like the target.
-
-Counts come from all rows: each task adds up its own slots, Spark adds the tasks', and the
-summed tables, whose size ``words`` and ``pairs`` fix, are broadcast for scoring. Rows are
-dealt to two folds by the CRC-32 of their id and each row is scored with the counts of the
-other fold, so no text is scored by counts that it added to.
+order, the same smoothing and one shared vocabulary: all words of the corpus. A word's
+probability is its pair count over its context's count, with the unigram model (one added
+to each word) as a Dirichlet prior of weight ``prior``. Each token adds the difference of
+its two losses (in nats); a document's score is their mean: the lower, the more it is like
+the target.
+
+Every word and every pair of neighbours is counted exactly, whatever their number:
+
+1. each task gathers rows of one fold into chunks of about ``CHUNK_BYTES`` of text and
+   counts each chunk's distinct words, contexts and pairs;
+2. these are dealt by their hash over buckets, whose number grows with the corpus. A
+   frequent one comes once a chunk, so no key is hot;
+3. a bucket adds up equal words and pairs, compared by their bytes, and answers each
+   chunk with the other fold's counts, in the order in which the chunk asked;
+4. each chunk meets its answers and its rows are scored.
+
+Nothing is broadcast; the driver gets the number of words and of tokens. Rows are dealt to
+two folds by the CRC-32 of their id and each row is scored with the counts of the other
+fold, so no text is scored by counts that it added to.
 
 Defined cases: null and empty texts have no tokens and score 0 with losses 0; rows with a
 null id belong to fold 0 and are not targets; of repeated labels for an id the largest
@@ -20,160 +29,234 @@ model is uniform; very long texts are counted and scored whole; other columns ar
 
 from __future__ import annotations
 
+import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WORDS = 1 << 16
-PAIRS = 1 << 19
-#: Token slots that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
-#: Tokens that are counted at once.
-CHUNK = 2_000_000
+from ledgerspark.llm._common import fresh_path
 
+#: Kinds of grams in ``slot_counts``: words lie below this number, contexts at it, pairs above.
+WORDS = 1
+#: Text of a chunk, and of the corpus for each bucket.
+CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 6 << 20
 
-class _Slots(dict):
-    """Token -> word slot; slot 0 is the start of a text."""
 
-    def __init__(self, words: int) -> None:
-        super().__init__()
-        self.words = words
+def fold(id_col: Column) -> Column:
+    return F.coalesce((F.crc32(id_col.cast("string")) % 2).cast("int"), F.lit(0))
 
-    def __missing__(self, token: bytes) -> int:
-        slot = 1 + zlib.crc32(token) % (self.words - 1)
-        if len(token) < 64:
-            self[token] = slot
-        return slot
 
-    def of(self, text: bytes | None) -> np.ndarray:
-        """Slots of a whole UTF-8 text, from the start slot on."""
-        if len(self) > REMEMBERED:
-            self.clear()
-        tokens = (text or b"").lower().split()
-        out = np.zeros(len(tokens) + 1, dtype=np.int64)
-        out[1:] = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        return out
+def _pairs(codes: list[np.ndarray], words: int) -> np.ndarray:
+    """Every token with the one before it as one number; word 0 is the start of a text."""
+    if not codes:
+        return np.zeros(0, dtype=np.int64)
+    return np.concatenate([np.concatenate(([0], x[:-1])) * words + x if len(x) else x for x in (x.astype(np.int64) for x in codes)])
 
 
-def pair_slots(slots: np.ndarray, pairs: int) -> np.ndarray:
-    """Slot of each token with the one before it."""
-    mixed = slots[:-1] * 0x9E3779B1 + slots[1:] * 0x85EBCA77
-    mixed ^= mixed >> 15
-    return mixed % pairs
+def _dealt(hashes: np.ndarray, pairs: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each gram of a chunk: its words, its contexts, its distinct pairs."""
+    h, words = hashes.astype(np.uint64), max(1, len(hashes))
+    a, b = h[pairs // words], h[pairs % words]
+    mixed = np.concatenate([h * np.uint64(0x9E3779B97F4A7C15), h * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1), a * np.uint64(0x9E3779B97F4A7C15) + (b + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)])
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
-def fold(id_col: Column) -> Column:
-    return F.coalesce((F.crc32(id_col.cast("string")) % 2).cast("int"), F.lit(0))
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), dtype="<u4", count=len(words))
+
+
+def _counted(values: list[np.ndarray], size: int) -> np.ndarray:
+    return np.bincount(np.concatenate(values), minlength=size) if values else np.zeros(size, dtype=np.int64)
 
 
-def slot_counts(docs: DataFrame, words: int = WORDS, pairs: int = PAIRS) -> DataFrame:
-    """(fold, slot, target, background) summed over all rows of (fold, is_target, text as bytes).
+def staged(docs: DataFrame) -> DataFrame:
+    """Chunks of (id, fold, is_target, text as bytes), one row each, written to the shared folder.
 
-    Slots: word counts first, then context counts, then pair counts.
+    ``words`` are the chunk's words in order, a line each; ``codes`` their numbers, text by text.
     """
-    schema = "fold int, slot int, target long, background long"
-
-    def emit(ids: list, pair_ids: list, contexts: list, which: list) -> Iterator[pd.DataFrame]:
-        for group in range(4):
-            parts = [k for k, g in enumerate(which) if g == group]
-            if not parts:
-                continue
-            slot = np.concatenate([*(ids[k] for k in parts), *(contexts[k] + words for k in parts), *(pair_ids[k] + 2 * words for k in parts)])
-            count = np.bincount(slot)
-            there = np.flatnonzero(count)
-            n = count[there]
-            yield pd.DataFrame({"fold": np.full(len(there), group // 2, np.int32), "slot": there.astype(np.int32), "target": n * (group % 2), "background": n})
+    parts = "chunk string, fold int, tokens long, targets long, goods binary, sizes binary, codes binary, words binary"
+    schema = T.StructType([T.StructField("ids", T.ArrayType(docs.schema["id"].dataType)), *T.StructType.fromDDL(parts).fields])
+
+    def chunk(rows: pa.Table, f: int) -> pa.RecordBatch:
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        number[b""]
+        found = []
+        for text in rows["text"]:
+            tokens = (text.as_py() or b"").lower().split()
+            found.append(np.fromiter(map(number.__getitem__, tokens), dtype=np.int32, count=len(tokens)))
+        words = sorted(number)
+        rank = np.empty(len(words), dtype="<i4")
+        rank[np.fromiter((number[w] for w in words), dtype=np.int64, count=len(words))] = np.arange(len(words))
+        goods, sizes = np.array(rows["is_target"].to_pylist(), dtype=bool), np.array([len(x) for x in found], dtype="<i8")
+        ids = pa.concat_arrays(rows["id"].chunks)
+        values = (uuid.uuid4().hex, f, int(sizes.sum()), int(sizes[goods].sum()), goods.tobytes(), sizes.tobytes(), rank[np.concatenate(found)].tobytes(), b"\n".join(words))
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
+        arrays = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([v], k) for v, k in zip(values, kinds, strict=True))]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {0: [], 1: []}, {0: 0, 1: 0}
+        for batch in batches:
+            for f in held:
+                part = batch.filter(pc.equal(batch.column("fold"), f))
+                if part.num_rows:
+                    held[f].append(part)
+                    size[f] += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                if size[f] > CHUNK_BYTES:
+                    yield chunk(pa.Table.from_batches(held[f]), f)
+                    held[f], size[f] = [], 0
+        for f in held:
+            if held[f]:
+                yield chunk(pa.Table.from_batches(held[f]), f)
+
+    return _written(docs.select("id", "fold", "is_target", "text").mapInArrow(work, schema), "lm-chunks")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again; its shuffle files go at once."""
+    spark, path, switch = df.sparkSession, fresh_path(df.sparkSession, name), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(switch, None)
+    spark.conf.set(switch, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(switch) if before is None else spark.conf.set(switch, before)
+    return spark.read.parquet(path)
+
+
+def _texts(sizes: bytes, codes: bytes) -> list[np.ndarray]:
+    return np.split(np.frombuffer(codes, "<i4"), np.cumsum(np.frombuffer(sizes, "<i8"))[:-1])
+
+
+def asked(chunks: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, fold, bucket, grams, target, background): of each chunk and bucket its grams and their counts.
+
+    A word is its bytes, a context has a space behind it, a pair a space between; each ends its line.
+    """
+    kinds = pa.schema([("chunk", pa.string()), ("fold", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary()), ("target", pa.binary()), ("background", pa.binary())])
+
+    def ask(key: str, f: int, goods: bytes, sizes: bytes, codes: bytes, words: bytes) -> pa.RecordBatch:
+        words, found = words.split(b"\n"), _texts(sizes, codes)
+        good = [x for x, t in zip(found, np.frombuffer(goods, bool), strict=True) if t]
+        n = len(words)
+        pairs, background = np.unique(_pairs(found, n), return_counts=True)
+        target = np.zeros(len(pairs), dtype=np.int64)
+        there, count = np.unique(_pairs(good, n), return_counts=True)
+        target[np.searchsorted(pairs, there)] = count
+        place = _dealt(_hashes(words), pairs, buckets)
+        order = np.argsort(place, kind="stable")
+        first = np.flatnonzero(np.diff(place[order], prepend=-1))
+        ends = np.append(first, len(order))
+        columns = []
+        for texts, of_pairs in ((good, target), (found, background)):
+            contexts = np.bincount(pairs // n, weights=of_pairs, minlength=n).astype(np.int64)
+            counts = np.concatenate([_counted(texts, n), contexts, of_pairs]).astype("<u4")[order]
+            columns.append(pa.array([counts[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary()))
+        names, space = pa.array(words, pa.binary()), pa.scalar(b" ", pa.binary())
+        contexts = pc.binary_join_element_wise(names, pa.scalar(b"", pa.binary()), space)
+        both = pc.binary_join_element_wise(names.take(pa.array(pairs // n)), names.take(pa.array(pairs % n)), space)
+        grams = pa.concat_arrays([names, contexts, both]).take(pa.array(order))
+        blobs = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), grams), pa.scalar(b"\n", pa.binary()))
+        m = len(first)
+        return pa.RecordBatch.from_arrays([pa.array([key] * m, pa.string()), pa.array([f] * m, pa.int32()), pa.array(place[order][first], pa.int32()), blobs, *columns], schema=kinds)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield ask(*(c[k].as_py() for c in batch.columns))
+
+    return chunks.select("chunk", "fold", "goods", "sizes", "codes", "words").mapInArrow(work, "chunk string, fold int, bucket int, grams binary, target binary, background binary")
+
+
+def slot_counts(docs: DataFrame) -> DataFrame:
+    """(fold, slot, gram, target, background): exact counts over all rows of (fold, is_target, text as bytes).
+
+    Slots: words first, then contexts (with a space behind), then pairs.
+    """
+    rows = asked(staged(docs.withColumn("id", F.lit(None).cast("long"))), 1).select("fold", "grams", "target", "background")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots, held, parts = _Slots(words), 0, ([], [], [], [])
         for batch in batches:
-            for f, t, text in zip(batch["fold"], batch["is_target"], batch["text"], strict=True):
-                x = slots.of(text)
-                for part, value in zip(parts, (x[1:], pair_slots(x, pairs), x[:-1], 2 * int(f) + int(t)), strict=True):
-                    part.append(value)
-                held += len(x)
-                if held > CHUNK:
-                    yield from emit(*parts)
-                    held, parts = 0, ([], [], [], [])
-        yield from emit(*parts)
-
-    return docs.mapInPandas(work, schema).groupBy("fold", "slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-@dataclass
-class Models:
-    """Counts of both models for both folds: arrays [fold, slot]."""
-
-    target: np.ndarray
-    background: np.ndarray
-    words: int
-    pairs: int
-    prior: float
-
-    def __post_init__(self) -> None:
-        self.totals = [t[:, : self.words].sum(axis=1, dtype=np.float64) for t in (self.target, self.background)]
-
-    def losses(self, x: np.ndarray, fold: int) -> tuple[np.ndarray, np.ndarray]:
-        """Loss of each token under the target and the background model of the other fold."""
-        pair = pair_slots(x, self.pairs) + 2 * self.words
-        out = []
-        for table, totals in zip((self.target, self.background), self.totals, strict=True):
-            counts = table[1 - fold]
-            unigram = (counts[x[1:]] + 1.0) / (totals[1 - fold] + self.words)
-            context = counts[x[:-1] + self.words]
-            out.append(-np.log((np.minimum(counts[pair], context) + self.prior * unigram) / (context + self.prior)))
-        return out[0], out[1]
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", words: int = WORDS, pairs: int = PAIRS, prior: float = 50.0) -> Models:
-    """Models of all rows of ``docs``; target rows have a positive label."""
+            for f, grams, target, background in batch.itertuples(index=False):
+                grams = grams.split(b"\n")
+                slot = [0 if b" " not in g else WORDS if g[-1:] == b" " else WORDS + 1 for g in grams]
+                yield pd.DataFrame({"fold": f, "slot": slot, "gram": grams, "target": np.frombuffer(target, "<u4"), "background": np.frombuffer(background, "<u4")})
+
+    found = rows.mapInPandas(work, "fold int, slot int, gram binary, target long, background long").filter("background > 0")
+    return found.groupBy("fold", "slot", "gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def answers(requests: DataFrame) -> DataFrame:
+    """(chunk, bucket, target, background, words): the other fold's counts, and the bucket's number of words."""
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        lines = np.frombuffer(b"\n".join(part["grams"]) + b"\n", np.uint8)
+        offsets = np.concatenate(([0], np.flatnonzero(lines == 10) + 1)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(lines)]).dictionary_encode()
+        codes, names = coded.indices.to_numpy(), coded.dictionary
+        # Neither contexts nor pairs, which have a space, nor the start of a text, which is an empty line.
+        words = int(np.sum((pc.count_substring(names, " ").to_numpy() == 0) & (pc.binary_length(names).to_numpy() > 1)))
+        sizes = np.array([len(x) // 4 for x in part["background"]])
+        folds, n = np.repeat(part["fold"].to_numpy().astype(np.int64), sizes), len(names)
+        out = {"chunk": part["chunk"], "bucket": part["bucket"]}
+        for c in ("target", "background"):
+            total = np.bincount(folds * n + codes, weights=np.frombuffer(b"".join(part[c]), "<u4"), minlength=2 * n).astype("<i8")
+            out[c] = [x.tobytes() for x in np.split(total[(1 - folds) * n + codes], np.cumsum(sizes)[:-1])]
+        return pd.DataFrame(out | {"words": words})
+
+    return _written(requests.groupBy("bucket").applyInPandas(add, "chunk string, bucket int, target binary, background binary, words long"), "lm-answers")
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float = 50.0) -> DataFrame:
+    """(id, n_tokens, target_loss, background_loss, score) of every row against models of all rows; target rows have a positive label."""
     good = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).groupBy("id").agg((F.max("label") > 0).alias("is_target"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    buckets = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
     # Labels grow with the corpus, so they are shuffled at every size and never broadcast.
-    marked = rows.join(good.hint("merge"), "id", "left").select(fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
-    table: pa.Table = slot_counts(marked, words, pairs).toArrow()
-    counts = {c: np.zeros((2, 2 * words + pairs), dtype=np.float32) for c in ("target", "background")}
-    for batch in table.to_batches():
-        where = (batch.column("fold").to_numpy(), batch.column("slot").to_numpy())
-        for c, held in counts.items():
-            held[where] = batch.column(c).to_numpy()
-    return Models(counts["target"], counts["background"], words, pairs, prior)
-
-
-def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, target_loss, background_loss, score): mean losses per token and their difference."""
-    rows = docs.select(F.col(id_col).alias("id"), fold(F.col(id_col)).alias("fold"), F.col(text_col).cast("binary").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    marked = rows.join(good.hint("merge"), "id", "left").select("id", fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
+    chunks = staged(marked)
+    replies = answers(asked(chunks, buckets))
+    # At most one row a fold, and one number.
+    totals = np.zeros((2, 2))
+    for r in chunks.groupBy("fold").agg(F.sum("targets").alias("t"), F.sum("tokens").alias("b")).collect():
+        totals[r["fold"]] = r["t"], r["b"]
+    words = max(1, replies.groupBy("bucket").agg(F.max("words").alias("words")).agg(F.sum("words")).first()[0] or 0)
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType),
         T.StructField("n_tokens", T.LongType()),
         *[T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score")],
     ])
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = shared.value
-        slots = _Slots(models.words)
-        for batch in batches:
-            out = []
-            for f, text in zip(batch["fold"], batch["text"], strict=True):
-                x = slots.of(text)
-                if len(x) < 2:
-                    out.append((0, 0.0, 0.0, 0.0))
-                    continue
-                target, background = models.losses(x, int(f))
-                out.append((len(x) - 1, target.mean(dtype=np.float64), background.mean(dtype=np.float64), (target - background).mean(dtype=np.float64)))
-            yield pd.DataFrame({id_col: batch["id"], **dict(zip(schema.names[1:], zip(*out, strict=True), strict=True))})
-
-    return rows.mapInPandas(work, schema)
-
-
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **options) -> DataFrame:
-    """Score of every row against models of all rows."""
-    return score(docs, fit(docs, labels, id_col, text_col, label_col, **options), id_col, text_col)
+    def score(chunk: pa.Table, replies: pa.Table) -> pa.Table:
+        f, hashes = chunk["fold"][0].as_py(), _hashes(chunk["words"][0].as_py().split(b"\n"))
+        codes = _texts(chunk["sizes"][0].as_py(), chunk["codes"][0].as_py())
+        pairs, at = np.unique(_pairs(codes, len(hashes)), return_inverse=True)
+        order = np.argsort(_dealt(hashes, pairs, buckets), kind="stable")
+        replies = replies.sort_by("bucket")
+        before, after, n = pairs // len(hashes), pairs % len(hashes), len(hashes)
+        size = np.array([len(x) for x in codes], dtype=np.int64)
+        row = np.repeat(np.arange(len(codes)), size)
+        losses = []
+        for k, c in enumerate(("target", "background")):
+            counts = np.empty(len(order), dtype=np.float64)
+            counts[order] = np.frombuffer(b"".join(x.as_py() for x in replies[c]), "<i8")
+            unigram = (counts[:n][after] + 1.0) / (totals[1 - f, k] + words)
+            loss = -np.log((counts[2 * n :] + prior * unigram) / (counts[n : 2 * n][before] + prior))
+            losses.append(np.bincount(row, weights=loss[at], minlength=len(codes)) / np.maximum(size, 1))
+        return pa.table([pc.list_flatten(chunk["ids"]), size, *losses, losses[0] - losses[1]], names=schema.names)
+
+    left = chunks.select("chunk", "fold", "words", "ids", "sizes", "codes")
+    right = replies.select("chunk", "bucket", "target", "background")
+    return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(score, schema)

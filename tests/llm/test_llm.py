@@ -6,7 +6,7 @@ import hashlib
 import re
 import sys
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
@@ -289,6 +289,39 @@ def test_lm_counts_equal_plain_counts(spark):
     assert [tuple(r) for r in counts] == [(0, 4, 4), (1, 2, 0)]
 
 
+def test_lm_scores_by_brute_force(spark, monkeypatch):
+    """Exact counts over many more words than any table of fixed slots would hold apart."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 50_000)
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 200_000)
+    rng = np.random.default_rng(8)
+    rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.2, 400) % 300_000)) for k in range(400)] + [(400, None), (None, "w1 w2 w1"), (2**60 + 1, "w1 w3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(400)], "doc_id long, quality int")
+    of = lambda k: zlib.crc32(str(k).encode()) % 2 if k is not None else 0
+    word, context, pair, total = (defaultdict(Counter) for _ in range(4))
+    for k, text in rows:
+        tokens = (text or "").split()
+        for model in ["b", "t"] if k is not None and k < 400 and k % 3 == 0 else ["b"]:
+            word[of(k), model].update(tokens)
+            context[of(k), model].update(["", *tokens][:-1] if tokens else [])
+            pair[of(k), model].update(zip(["", *tokens], tokens))
+            total[of(k), model]["n"] += len(tokens)
+    vocabulary = len({w for c in word.values() for w in c})
+    assert vocabulary > 10_000
+
+    def loss(k, text, model):
+        f, tokens = (1 - of(k), model), text.split()
+        return np.mean([-np.log((pair[f][a, b] + 50 * (word[f][b] + 1) / (total[f]["n"] + vocabulary)) / (context[f][a] + 50)) for a, b in zip(["", *tokens], tokens)])
+
+    got = {r["doc_id"]: r for r in lm_scoring.cross_entropy_difference(docs, labels).collect()}
+    assert len(got) == len(rows) and (got[400]["n_tokens"], got[400]["score"]) == (0, 0)
+    for k, text in rows:
+        if text:
+            t, b = loss(k, text, "t"), loss(k, text, "b")
+            assert (got[k]["target_loss"], got[k]["background_loss"], got[k]["score"]) == pytest.approx((t, b, t - b))
+    assert lm_scoring.cross_entropy_difference(docs.limit(0), labels).count() == 0
+
+
 def test_chat_segments_give_the_whole_path(spark):
     rng = np.random.default_rng(5)
     roles = len(chat_format.ROLES)
