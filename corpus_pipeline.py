@@ -15,13 +15,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group the row with the smallest id; of repeated ids the smallest text."""
-    classes = simhash_dedup.near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("head")).distinct()
-    heads = docs.join(classes, F.col("doc_id").eqNullSafe(F.col("head"))).drop("head")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    # Ids are meant to be unique; rows that share one are settled by their text.
-    least = F.min(F.struct(F.struct("text").alias("by"), F.struct(*columns).alias("row"))).alias("least")
-    return heads.groupBy("doc_id").agg(least).select("least.row.*")
+    """Of each near-duplicate group the row with the smallest id, then text; null ids come last."""
+    return simhash_dedup.one_per_group(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

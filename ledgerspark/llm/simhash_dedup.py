@@ -176,12 +176,43 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _placed(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(fp, least, root): each different fingerprint of (id, fp), its smallest id and the root of its component."""
+    points = cut(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = components(links(points.select("fp"), radius, blocks))
+    return cut(points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4, blocks: int = 7) -> DataFrame:
     """(id, fingerprint, component_id): one row per input row, with the smallest id reachable over links."""
     marked = cut(fingerprints(docs, id_col, text_col, width))
-    points = cut(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(points.select("fp"), radius, blocks))
-    placed = cut(points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    placed = _placed(marked, radius, blocks)
     tops = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = placed.join(tops, "root").select("fp", "component_id")
     return marked.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4, blocks: int = 7) -> DataFrame:
+    """Of each component the row with the smallest (id, text), null ids last, with all its columns.
+
+    A component goes by its root, which is never null, so ids may be null or repeated.
+    """
+
+    @F.pandas_udf(T.LongType())
+    def print_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(x, width) for x in texts], dtype="int64")
+
+    placed = _placed(cut(fingerprints(docs, id_col, text_col, width)), radius, blocks)
+    # Only fingerprints that have their component's smallest id can give its row.
+    rank = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"))
+    tops = placed.groupBy("root").agg(F.min(rank).alias("top"))
+    heads = placed.join(tops, "root").filter(rank == F.col("top")).select("fp", "root")
+    heads = heads.join(heads.groupBy("root").agg(F.count("*").alias("heads")), "root")
+
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ranked = docs.select(print_of(F.col(text_col).cast("binary")).alias("fp"), F.struct(order.alias("by"), row.alias("row")).alias("it"))
+    firsts = ranked.groupBy("fp").agg(F.min("it").alias("it")).join(heads, "fp")
+    # Several fingerprints share the smallest id only where it is null or repeated.
+    several = firsts.filter("heads > 1").groupBy("root").agg(F.min("it").alias("it"))
+    return firsts.filter("heads = 1").select("it").unionByName(several.select("it")).select("it.row.*")

@@ -353,6 +353,32 @@ def test_rollup_is_additive_and_idempotent(spark):
     assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v", 1, 12)]
 
 
+def test_pipeline_dedup_keeps_one_row_a_group(spark):
+    """Null and repeated ids against brute force."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 500, 200)) for _ in range(24)]
+    rows = []
+    for k, text in enumerate(texts):
+        near = text + f" w{k}"
+        rows += [[(None, text), (None, text), (None, near)], [(None, text), (k, near)], [(5, text), (5, near)], [(k, text), (3, near), (None, text)]][k % 4]
+    docs = spark.createDataFrame([(a, b, n) for n, (a, b) in enumerate(rows)], "doc_id long, text string, extra int")
+    prints = [plain_print(b) for _, b in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            for j in range(i):
+                if (prints[i] ^ prints[j]).bit_count() <= 4:
+                    root[i] = root[j] = min(root[i], root[j])
+    groups = defaultdict(list)
+    for r, (key, text) in zip(root, rows, strict=True):
+        groups[r].append((key is None, key or 0, text))
+    kept = Counter((None if none else key, text) for none, key, text in map(min, groups.values()))
+    assert Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.dedup(spark, docs, SMALL).collect()) == kept
+    assert len(groups) >= 24 and corpus_pipeline.dedup(spark, docs, SMALL).columns == docs.columns
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
