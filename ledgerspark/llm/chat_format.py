@@ -5,8 +5,8 @@ speaker marker (``User:``, ``### Response`` and the like), its length, its lines
 whether it asks or holds code. Emissions and transitions between roles are counted on
 conversations whose roles are known and smoothed; recovery reads only the texts.
 
-Viterbi runs over whole conversations of any length: turns are cut into segments; each
-segment is reduced to a small max-plus matrix (best path from each role before it to each
+Viterbi runs over whole conversations of any length: turns are numbered within it
+and cut into segments of ``SEGMENT`` turns, whatever their turn numbers; each segment is reduced to a small max-plus matrix (best path from each role before it to each
 role at its end); the matrices of a conversation fix the roles at the seams; then each
 segment is decoded on its own between known ends. The path found is the best one, as if
 the conversation had been decoded in one piece.
@@ -27,10 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.llm._common import cut
+
 ROLES = ("system", "user", "assistant", "tool")
 SEGMENT = 1024
 
@@ -104,12 +106,21 @@ class Hmm:
 
 
 def _turns(talks: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
-    """One row per different (conv, turn, text), with its symbol and its segment."""
+    """One row per different (conv, turn, text), with its symbol and its segment of ``SEGMENT`` turns.
+
+    Turns are numbered in two levels: a sort by ranges of (conv, turn, digest) gives each its
+    place within a range, and the counts of a conversation's earlier ranges are added.
+    """
     turns = talks.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return turns.select(
-        "conv", "turn", F.sha2("text", 256).alias("digest"), symbol(F.col("text"), F.col("turn")).alias("symbol"),
-        F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-1 << 40)).cast("long").alias("segment"),
-    ).distinct()
+    turns = cut(turns.select("conv", "turn", F.sha2("text", 256).alias("digest"), symbol(F.col("text"), F.col("turn")).alias("symbol")).distinct())
+    # Rows are different in these columns, so a range splits null and repeated turn numbers, too.
+    keys = ["conv", "turn", "digest"]
+    placed = cut(turns.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}))
+    ranges = placed.groupBy("conv", "part").agg(F.min("place").alias("low"), F.count("*").alias("n"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select(F.col("conv").alias("c"), F.col("part").alias("p"), (F.col("low") - earlier).alias("zero"))
+    ranked = placed.join(ranges, F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
+    return ranked.select("conv", "turn", "digest", "symbol", F.floor((F.col("place") - F.col("zero")) / SEGMENT).cast("long").alias("segment"))
 
 
 def fit(talks: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", trains: Column | None = None) -> Hmm:

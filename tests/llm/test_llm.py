@@ -334,6 +334,29 @@ def test_chat_segments_give_the_whole_path(spark):
     assert joined == model.path(symbols, -1, -1)
 
 
+def test_chat_segments_have_a_bound(spark):
+    """Null and repeated turn numbers and a null conversation are cut into segments, and decoded as one piece."""
+    rows = [(None, k, f"User: {k}?" if k % 3 else "### Response: yes") for k in range(3000)]
+    rows += [(1, None, f"turn {k} ```" if k % 2 else f"Human: {k}") for k in range(2500)]
+    rows += [(2, 7, f"Bot: {k}\n" if k % 5 else f"tool: {k}") for k in range(2500)] + [(3, 0, "q: a?"), (3, 0, "q: a?"), (3, -5, None)]
+    talks = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    turns = chat_format._turns(talks, "conv_id", "turn", "text").collect()
+    sizes = Counter((r["conv"], r["segment"]) for r in turns)
+    assert len(turns) == 8002 and max(sizes.values()) <= chat_format.SEGMENT
+    assert all(n == chat_format.SEGMENT or (c, s + 1) not in sizes for (c, s), n in sizes.items())
+    rng = np.random.default_rng(6)
+    roles = len(chat_format.ROLES)
+    log = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
+    model = chat_format.Hmm(log(rng.random(roles)), log(rng.random((roles, roles))), log(rng.random((roles, chat_format.SYMBOLS))))
+    got = {(r["conv"], r["turn"], r["digest"]): r["role_found"] for r in chat_format.recover(talks, model).collect()}
+    for conv in (None, 1, 2, 3):
+        own = sorted((r for r in turns if r["conv"] == conv), key=lambda r: (r["turn"] is not None, r["turn"], r["digest"]))
+        assert [r["segment"] for r in own] == [k // chat_format.SEGMENT for k in range(len(own))]
+        path = model.path(np.array([r["symbol"] for r in own]), -1, -1)
+        assert [got[conv, r["turn"], r["digest"]] for r in own] == [chat_format.ROLES[x] for x in path]
+    assert chat_format.format_chats(talks, model).count() == len(rows)
+
+
 def test_chat_roles_recovered(spark):
     got = llm.queries()["op7_chat_format"](spark, SMALL).collect()
     truth = duckdb.sql(f"SELECT conv_id, turn, role FROM '{SMALL}/conversations.parquet'").fetchall()
