@@ -7,7 +7,7 @@ hexadecimal digits have no keyword; they are located by their own run.
 
 Defined cases: a null text counts as empty; a null id is kept; every input row gives one
 output row, repeated rows included; other columns of the input are not read, so clashing
-names do no harm; an empty table gives an empty result.
+names do no harm; an empty table gives an empty result; very long texts are scanned whole.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ import hashlib
 import re
 import string
 import zlib
-from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
@@ -25,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.llm._common import beside
+
 #: Kinds in the order in which they are listed; the first three are the base kinds.
 KINDS = ("assign", "access", "hex", "github", "npm")
 BASE_KINDS = 3
@@ -109,26 +110,15 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts by kind, digest of the base spans, and all spans."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    counts = [f"n_{kind}" for kind in KINDS]
-    schema = T.StructType([
-        T.StructField(id_col, docs.schema[id_col].dataType),
-        *[T.StructField(c, T.LongType()) for c in counts],
-        T.StructField("base_sha256", T.StringType()),
-        T.StructField("spans", T.StringType()),
-    ])
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            each = [find_spans(text) for text in batch["text"]]
-            out = {id_col: batch["id"]}
-            for kind, name in zip(KINDS, counts, strict=True):
-                out[name] = [sum(s[2] == kind for s in spans) for spans in each]
-            base = [[s for s in spans if s[2] in KINDS[:BASE_KINDS]] for spans in each]
-            out["base_sha256"] = [hashlib.sha256(_joined(spans).encode()).hexdigest() for spans in base]
-            out["spans"] = [_joined(spans) for spans in each]
-            yield pd.DataFrame(out)
-
-    return rows.mapInPandas(work, schema)
+    counts = {f"n_{kind}": "long" for kind in KINDS}
+
+    def work(texts: list[str | None]) -> list[list]:
+        each = [find_spans(text) for text in texts]
+        base = [_joined([s for s in spans if s[2] in KINDS[:BASE_KINDS]]) for spans in each]
+        found = [[sum(s[2] == kind for s in spans) for spans in each] for kind in KINDS]
+        return [*found, [hashlib.sha256(b.encode()).hexdigest() for b in base], [_joined(spans) for spans in each]]
+
+    return beside(rows, "text", counts | {"base_sha256": "string", "spans": "string"}, work).withColumnRenamed("id", id_col)
 
 
 def redact_text(text: str | None, mask: str = "[SECRET]") -> str | None:
