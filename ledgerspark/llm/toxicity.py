@@ -11,8 +11,8 @@ filled up with neutral words, and a word right after itself counts once, so that
 word makes a passage. Training follows the same rule: after a
 start on whole texts each step uses every text's currently worst window.
 
-The model is fitted on the driver on at most ``most_rows`` labelled rows (a bounded
-sample by hash of the id, the documented bound); every row is scored. Its size is fixed by
+The model is fitted on the driver on at most ``most_rows`` labelled rows and ``most_bytes``
+of their whole texts (a bounded sample by hash of the id, the documented bounds); every row is scored. Its size is fixed by
 ``buckets`` and ``dim``. Only the text enters a score.
 
 Defined cases: a null text counts as empty and scores as the bias alone; labels that are
@@ -24,16 +24,17 @@ not read.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ledgerspark.llm._common import beside
 
 BUCKETS = 1 << 16
 #: Tokens that are hashed at once.
@@ -217,32 +218,33 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, most_rows: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list, list]:
-    """Texts and labels of at most ``most_rows`` labelled rows that are not held out."""
+def sample(docs: DataFrame, labels: DataFrame, most_rows: int, most_bytes: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list, list]:
+    """Whole texts and labels of labelled rows that are not held out, in the order of a hash of their ids.
+
+    As many as there are, at most ``most_rows`` rows and ``most_bytes`` of text.
+    """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("id is not null and label is not null")
     marked = marked.filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
-    chosen = marked.orderBy(F.md5(F.col("id").cast("string")), "id").limit(most_rows)
+    order = [F.md5(F.col("id").cast("string")), F.col("id")]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    # The chosen ids are bounded by most_rows: safe to broadcast at any input size.
-    rows = texts.join(F.broadcast(chosen), "id").orderBy(F.md5(F.col("id").cast("string")), "id", "text").limit(most_rows).toArrow()
-    return rows.column("text").to_pylist(), [int(x > 0) for x in rows.column("label").to_pylist()]
+    # The chosen ids are bounded by most_rows: safe to broadcast, to sort in one task and to collect at any input size.
+    chosen = F.broadcast(marked.orderBy(*order).limit(most_rows))
+    sizes = texts.join(chosen, "id").select("id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).groupBy("id", "label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    fits = sizes.withColumns({"rows": F.sum("n").over(before), "bytes": F.sum("size").over(before)}).filter((F.col("rows") <= most_rows) & (F.col("bytes") <= most_bytes))
+    rows = texts.join(F.broadcast(fits.select("id", "label")), "id").toArrow()
+    keyed = sorted(zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), rows.column("label").to_pylist(), strict=True), key=lambda r: (hashlib.md5(str(r[0]).encode()).digest(), r[1] or ""))
+    return [r[1] for r in keyed], [int(r[2] > 0) for r in keyed]
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 8000, most_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
     """Fit on a bounded sample of the labelled rows."""
-    return train(*sample(docs, labels, most_rows, id_col, text_col, label_col), **options)
+    return train(*sample(docs, labels, most_rows, most_bytes, id_col, text_col, label_col), **options)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) for every row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "score": model.scores(batch["text"])})
-
-    scored = rows.mapInPandas(work, schema)
+    scored = beside(rows, "text", {"score": "double"}, lambda texts: [shared.value.scores(texts)])
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
