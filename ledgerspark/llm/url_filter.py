@@ -13,7 +13,8 @@ statistics for a training URL leave out that URL itself.
 Defined cases: a URL without ``://`` or null has an empty host and path and is judged by
 its features; a port or user stays part of the host; repeated rows are judged each; with
 labels of one class or none every URL without a rule gets that class (allow if none);
-labels that are null are ignored; other columns are not read.
+labels that are null are ignored; an empty table gives no rows; very long URLs are read whole;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm._common import ascii_lower
+from ledgerspark.llm._common import ascii_lower, cut
 
 FEATURES = ("url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "host_entropy", "hyphens", "parameters", "suffix_rate", "suffix_count")
 
@@ -132,14 +133,20 @@ def _with_suffix(rows: DataFrame, suffixes: DataFrame, base: float, own: Column
         n, bad = n - 1, bad - own
     # At most one row for each training URL, so the broadcast is bounded.
     joined = rows.join(F.broadcast(suffixes), "suffix", "left")
-    return joined.withColumns({"suffix_rate": (bad + 2 * F.lit(base)) / (n + 2), "suffix_count": F.least(n, F.lit(1000)).cast("double")})
+    return joined.withColumns({"suffix_rate": (bad + 2 * F.lit(base)) / (n + 2), "suffix_count": n.cast("double")})
+
+
+def held_out(url: Column) -> Column:
+    """URLs kept from training: CRC-32 of the URL is divisible by five."""
+    return F.coalesce(F.crc32(url) % 5 == 0, F.lit(False))
 
 
 def fit(labelled: DataFrame, most_rows: int = 20_000, trees: int = 10, depth: int = 3, seed: int = 7) -> Filter:
     """Fit trees on at most ``most_rows`` labelled URLs (url, label)."""
     chosen = labelled.select("url", F.col("label").cast("int").alias("label")).filter("url is not null and label is not null")
     chosen = chosen.orderBy(F.md5("url"), "label").limit(most_rows)
-    rows = lexical(chosen).select("suffix", "label", *[f for f in FEATURES if not f.startswith("suffix")]).cache()
+    # Written to the shared folder: at most ``most_rows`` rows, which every round of boosting reads.
+    rows = cut(lexical(chosen).select("suffix", "label", *[f for f in FEATURES if not f.startswith("suffix")]))
     n, bad = rows.agg(F.count("*"), F.sum("label")).first()
     base = (bad or 0) / n if n else 0.0
     if not n or bad in (0, n):
@@ -153,7 +160,7 @@ def fit(labelled: DataFrame, most_rows: int = 20_000, trees: int = 10, depth: in
 
 
 def judge(pages: DataFrame, filter_: Filter, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(id, host, path, rule, verdict): the longest fitting rule decides, else the trees."""
+    """(id, host, path, rule, verdict, blocked): the longest fitting rule decides, else the trees' ``blocked``."""
     rows = filter_.blocks(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")))
     host, path = F.col("host"), F.col("path")
     return rows.select(
@@ -162,4 +169,5 @@ def judge(pages: DataFrame, filter_: Filter, rules: list[Rule], id_col: str = "p
         path,
         rule_for(rules, host, path).alias("rule"),
         F.coalesce(rule_for(rules, host, path, "verdict"), F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
+        "blocked",
     )
