@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm._common import fresh_path
+from ledgerspark.llm._common import bounded_batches, fresh_path
 
 #: Kinds of grams in ``slot_counts``: words lie below this number, contexts at it, pairs above.
 WORDS = 1
@@ -221,11 +221,15 @@ def answers(requests: DataFrame) -> DataFrame:
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float = 50.0) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score) of every row against models of all rows; target rows have a positive label."""
+    bounded_batches(docs.sparkSession)
     good = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).groupBy("id").agg((F.max("label") > 0).alias("is_target"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     buckets = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
     # Labels grow with the corpus, so they are shuffled at every size and never broadcast.
-    marked = rows.join(good.hint("merge"), "id", "left").select("id", fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
+    # A null id has no label; such rows are dealt by their texts, not all to one task.
+    spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(0)
+    good = good.withColumn("spread", F.lit(0).cast("long"))
+    marked = rows.withColumn("spread", spread.cast("long")).join(good.hint("merge"), ["id", "spread"], "left").select("id", fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
     chunks = staged(marked)
     replies = answers(asked(chunks, buckets))
     # At most one row a fold, and one number.
