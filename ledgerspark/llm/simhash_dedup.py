@@ -13,13 +13,16 @@ in one of them. No link is lost and nothing is capped:
 * a larger bucket is linked through midpoints: two fingerprints differ in at most four
   bits exactly if some word lies within two bits of both, so each emits the words within
   half the radius on the bits that the bucket leaves free, and those that meet are joined
-  to the smallest. That is linear in the bucket.
+  to the smallest. That is linear in the bucket. (An odd radius rounds one half up.)
 
-Components come from alternating large-star and small-star steps with checkpoints.
+Components come from alternating large-star and small-star steps, each written to the
+shared folder. A fingerprint of many rows and a component of many fingerprints are joined
+by broadcast: under a thousand can have a thousandth of all rows each.
 
 Defined cases: a null text counts as empty and gets fingerprint zero; rows with a null id
 take part, but a component's id is its smallest id that is not null (null if there is
-none); repeated rows are one vertex and each gets its row; other columns are not read.
+none); repeated rows are one vertex and each gets its row; an empty table gives no rows; very
+long texts are read whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,11 +33,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm._common import cut
+from ledgerspark.llm._common import beside, bounded_batches, cut, delete_path, fresh_path, join_spread
 
 SEED = 42
 #: Largest bucket that one task compares pair by pair; larger ones go by midpoints.
@@ -66,13 +69,7 @@ def fingerprint(text: bytes | None, width: int = 4) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """(id, fp): the fingerprint of every row as a signed long."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "fp": [fingerprint(x, width) for x in batch["text"]]})
-
-    return rows.mapInPandas(work, schema)
+    return beside(rows, "text", {"fp": "long"}, lambda texts: [[fingerprint(x, width) for x in texts]])
 
 
 def _block_masks(blocks: int) -> list[int]:
@@ -130,34 +127,44 @@ def links(points: DataFrame, radius: int = 4, blocks: int = 7, pairwise: int = P
     small = crowded.filter(F.col("n") <= pairwise).groupBy("choice", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
     found = twos.unionByName(small.mapInPandas(compare, edge))
 
-    half = radius // 2
     large = crowded.filter(F.col("n") > pairwise)
     if large.isEmpty():
         return found.distinct()
-    if radius % 2 == 0:
-        stars = large.select("choice", "key", "fp", F.explode(_near(F.col("fp"), F.col("choice"), chosen, half)).alias("mid"))
-        least = stars.groupBy("choice", "key", "mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        found = found.unionByName(stars.join(least, ["choice", "key", "mid"]).filter("fp <> a").select("a", F.col("fp").alias("b")))
-    else:
-        a, b = large.select("choice", "key", F.col("fp").alias("a")), large.select("choice", "key", F.col("fp").alias("b"))
-        found = found.unionByName(a.join(b, ["choice", "key"]).filter("a < b").filter(_close(F.col("a"), F.col("b"), radius)).select("a", "b"))
-    return found.distinct()
+    mids = large.select("choice", "key", "fp", F.inline(_near(F.col("fp"), F.col("choice"), chosen, radius)))
+    # At most as many fingerprints meet at a word as lie within half the radius of it, so this window has no hot group.
+    least = F.min(F.when(F.col("inner"), F.col("fp"))).over(Window.partitionBy("choice", "key", "mid"))
+    stars = mids.withColumn("a", least).filter("fp <> a").select("a", F.col("fp").alias("b"))
+    return found.unionByName(stars).distinct()
 
 
-def _near(fp: Column, choice: Column, chosen: list[int], half: int) -> Column:
-    """Words within ``half`` bits of ``fp`` on the bits that the bucket's choice leaves free."""
+def _near(fp: Column, choice: Column, chosen: list[int], radius: int) -> Column:
+    """Words (mid, inner) around ``fp`` on the bits that the bucket's choice leaves free.
+
+    They lie within half the radius, rounded up; ``inner``: rounded down. Two fingerprints
+    within the radius share a word that is inner to one of them.
+    """
     tables = []
     for mask in chosen:
         free = [i for i in range(64) if not (mask & ((1 << 64) - 1)) >> i & 1]
-        flips = [0, *[_signed(sum(1 << i for i in c)) for k in range(1, half + 1) for c in combinations(free, k)]]
+        flips = [0, *[_signed(sum(1 << i for i in c)) for k in range(1, (radius + 1) // 2 + 1) for c in combinations(free, k)]]
         tables.append(F.lit(np.array(flips, dtype=np.int64)))
     flips = F.get(F.array(*tables), choice)
-    return F.transform(flips, lambda x: fp.bitwiseXOR(x))
+    return F.transform(flips, lambda x: F.struct(fp.bitwiseXOR(x).alias("mid"), (F.bit_count(x) <= radius // 2).alias("inner")))
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(node, root): the smallest node of each connected component, for the nodes of ``edges`` (a, b)."""
-    edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    """(node, root): the smallest node of each connected component, for the nodes of ``edges`` (a, b).
+
+    Each round is written to the shared folder and replaces the one before.
+    """
+    spark = edges.sparkSession
+
+    def kept(rows: DataFrame) -> tuple[DataFrame, str]:
+        path = fresh_path(spark, "simhash-edges")
+        rows.write.parquet(path)
+        return spark.read.parquet(path), path
+
+    edges, path = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     before = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -165,7 +172,9 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         near = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(near, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(near.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        old = path
+        edges, path = kept(small.unionByName(near.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        delete_path(spark, old)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
@@ -176,20 +185,33 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _placed(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
-    """(fp, least, root): each different fingerprint of (id, fp), its smallest id and the root of its component."""
-    points = cut(prints.groupBy("fp").agg(F.min("id").alias("least")))
+def _placed(prints: DataFrame, radius: int, blocks: int) -> tuple[DataFrame, int]:
+    """(fp, n, least, root, linked) of each different fingerprint of (id, fp), and the number of rows.
+
+    ``n``: its rows; ``least``: its smallest id; ``root``: that of its component; ``linked``: whether it has a link.
+    """
+    points = cut(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("least")))
     roots = components(links(points.select("fp"), radius, blocks))
-    return cut(points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    placed = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    placed = cut(placed.select("fp", "n", "least", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked")))
+    return placed, placed.agg(F.sum("n")).first()[0] or 0
+
+
+def _with_least(placed: DataFrame, columns: list[str], value: Column, name: str) -> DataFrame:
+    """``columns`` of the fingerprints and the least ``value`` of their components; without links one is its own component."""
+    linked = placed.filter("linked").withColumn(name, value)
+    groups = linked.groupBy("root").agg(F.count("*").alias("_n"), F.min(name).alias(name))
+    together = join_spread(linked.drop(name), groups, "root", "_n", linked.count())
+    return together.select(*columns, name).unionByName(placed.filter("not linked").select(*columns, value.alias(name)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4, blocks: int = 7) -> DataFrame:
     """(id, fingerprint, component_id): one row per input row, with the smallest id reachable over links."""
     marked = cut(fingerprints(docs, id_col, text_col, width))
-    placed = _placed(marked, radius, blocks)
-    tops = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = placed.join(tops, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    placed, total = _placed(marked, radius, blocks)
+    classes = cut(_with_least(placed, ["fp", "n"], F.col("least"), "component_id"))
+    rows = join_spread(marked, classes, "fp", "n", total)
+    return rows.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4, blocks: int = 7) -> DataFrame:
@@ -198,15 +220,16 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A component goes by its root, which is never null, so ids may be null or repeated.
     """
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf(T.LongType())
     def print_of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(x, width) for x in texts], dtype="int64")
 
-    placed = _placed(cut(fingerprints(docs, id_col, text_col, width)), radius, blocks)
+    placed, _ = _placed(cut(fingerprints(docs, id_col, text_col, width)), radius, blocks)
     # Only fingerprints that have their component's smallest id can give its row.
     rank = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"))
-    tops = placed.groupBy("root").agg(F.min(rank).alias("top"))
-    heads = placed.join(tops, "root").filter(rank == F.col("top")).select("fp", "root")
+    heads = _with_least(placed, ["fp", "root", "least"], rank, "top").filter(rank == F.col("top")).select("fp", "root")
     heads = heads.join(heads.groupBy("root").agg(F.count("*").alias("heads")), "root")
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
