@@ -7,7 +7,8 @@ is judged in one pass over the scan.
 
 Defined cases: a null text has no words and fails; empty texts likewise; a ratio with an
 empty denominator is zero; very long texts are measured whole; repeated rows give repeated
-results; other columns are not read.
+results; an empty table gives no rows; other columns are not read. Windows of three words are
+compared by 64-bit hashes within one text.
 """
 
 from __future__ import annotations
