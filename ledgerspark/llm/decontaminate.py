@@ -5,22 +5,31 @@ window of words; windows are twice as long as the longest item of their length c
 start every half window, so each item that a text holds lies whole in some window.
 
 Scores are BM25 with each item's own score as the unit: 1.0 means that a passage holds
-all of an item's words. For every window the index is read block by block: a block holds a few items and, for each
-term, the largest share that any of them gets from it. The sum of these maxima bounds the
-score of all items in the block, so blocks below the threshold are skipped, and only the
-rest are scored item by item. Terms of many items have no lists; their part is granted. This is block-max WAND with a fixed threshold: there is no
-top-k, so nothing above the threshold is lost.
+all of an item's words. This is block-max WAND with a fixed threshold: there is no top-k, so
+the threshold never moves and nothing at or above it is lost.
+
+1. List maxima: the largest share that any item gets from each of the window's terms. If
+   they add up to less than the least that a block needs, no list is opened.
+2. Block maxima: the lists of the window's terms name blocks of a few items, with the largest
+   share in the block. Blocks whose sum stays below their need are skipped.
+3. The items of the remaining blocks are scored one by one.
+
+Terms of many items are left out of the lists of blocks that need others besides; what an
+item gets from them is granted. Windows are worked on a
+bounded number at a time, whatever the length of a text.
 
 Every retrieved window is verified. It counts if runs of five words that it shares with the
 item cover enough of the item, of its question and of its answer; a text and an item give
-one row, that of the verified window with the largest overlap. Items without separate columns are halved.
+one row, that of the verified window with the largest overlap. Items without a column of
+answers are verified by their two halves.
 
 The index is broadcast. Its size follows the test items, not the corpus; more than
 ``index_bytes`` of item text are split into that many indexes, which are applied in turn.
 
 Defined cases: null or empty texts hold nothing; null or empty items are never found;
-items of under five words must occur whole; repeated rows are judged each for itself;
-repeated items are separate items; other columns are not read.
+items of under five words must occur whole; repeated rows are judged each for itself and
+ids may be null; repeated items are separate items; very long texts are read whole; of equal
+overlaps the larger parts, then the larger score count; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,15 +43,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.llm._common import bounded_batches
+
 #: Words of a shared run.
 RUN = 5
-#: Bounds (windows times blocks) that are held at once.
-CELLS = 4_000_000
+#: Windows, and entries of posting lists, that are worked on at once.
+WINDOWS = 4096
+CELLS = 2_000_000
 _WORD = re.compile(r"\w+")
 
 
@@ -59,6 +72,7 @@ class Blocks(NamedTuple):
     first: np.ndarray
     where: np.ndarray
     most: np.ndarray
+    top: np.ndarray
     need: np.ndarray
 
 
@@ -66,7 +80,7 @@ class Blocks(NamedTuple):
 class Index:
     """Inverted index of the test items in blocks of ``block`` items."""
 
-    ids: list
+    ids: pa.Array
     words: list[list[str]]
     split: list[int]
     threshold: float
@@ -76,110 +90,135 @@ class Index:
     b: float = 0.75
 
     def __post_init__(self) -> None:
-        counts = [Counter(w) for w in self.words]
-        frequency = Counter(w for c in counts for w in c)
-        mean = max(1.0, sum(map(len, self.words)) / max(1, len(self.words)))
-        n = len(self.words)
+        words, self.words = self.words, []
+        frequency = Counter(w for own in words for w in set(own))
+        mean = max(1.0, sum(map(len, words)) / max(1, len(words)))
+        n = len(words)
         self.term = {w: k for k, w in enumerate(sorted(frequency))}
-        self.shares: list[dict[int, float]] = []
-        for w, c in zip(self.words, counts, strict=True):
-            norm = self.k1 * (1 - self.b + self.b * len(w) / mean)
-            gain = {self.term[t]: math.log(1 + (n - frequency[t] + 0.5) / (frequency[t] + 0.5)) * tf * (self.k1 + 1) / (tf + norm) for t, tf in c.items()}
+        self.items = [np.array([self.term[w] for w in own], dtype=np.int32) for own in words]
+        self.shares: list[tuple[np.ndarray, np.ndarray]] = []
+        for own in words:
+            norm = self.k1 * (1 - self.b + self.b * len(own) / mean)
+            gain = {t: math.log(1 + (n - frequency[t] + 0.5) / (frequency[t] + 0.5)) * tf * (self.k1 + 1) / (tf + norm) for t, tf in Counter(own).items()}
             whole = sum(gain.values())
-            self.shares.append({t: g / whole for t, g in gain.items()})
-        self.common = np.array([frequency[t] > max(4, self.common_share * n) for t in sorted(frequency)], dtype=bool)
+            self.shares.append((np.array([self.term[t] for t in gain], dtype=np.int32), np.array([g / whole for g in gain.values()])))
+        self.common = np.array([frequency[t] > max(4, self.common_share * n) for t in self.term], dtype=bool)
         classes: dict[int, list[int]] = defaultdict(list)
-        for i, w in enumerate(self.words):
-            if w:
-                classes[max(32, 1 << (len(w) - 1).bit_length())].append(i)
+        for i, own in enumerate(words):
+            if own:
+                classes[max(32, 1 << (len(own) - 1).bit_length())].append(i)
         self.classes = [self._blocks(half, classes[half]) for half in sorted(classes)]
-        self.runs = [{tuple(w[k : k + RUN]) for k in range(max(1, len(w) - RUN + 1))} for w in self.words]
 
     def _blocks(self, half: int, items: list[int]) -> Blocks:
-        """Posting lists of the rare terms with block maxima, and what each block needs from them."""
+        """Posting lists with their maxima, and what each block needs from them."""
         blocks = [items[k : k + self.block] for k in range(0, len(items), self.block)]
         lists: dict[int, dict[int, float]] = defaultdict(dict)
         need = np.full(len(blocks), self.threshold)
         for number, block in enumerate(blocks):
-            for i in block:
-                for t, share in self.shares[i].items():
-                    if not self.common[t]:
-                        lists[t][number] = max(share, lists[t].get(number, 0.0))
-            # Terms of many items have no list: their part of the score is granted in full.
-            need[number] -= max(sum(x for t, x in self.shares[i].items() if self.common[t]) for i in block)
-        first, where, most = np.zeros(len(self.term) + 1, dtype=np.int64), [], []
+            most: dict[int, float] = {}
+            own = [dict(zip(*map(np.ndarray.tolist, self.shares[i]), strict=True)) for i in block]
+            for shares in own:
+                for t, share in shares.items():
+                    most[t] = max(share, most.get(t, 0.0))
+            # Common terms have no entry; what any item gets from them is granted, but never all that the threshold asks for.
+            granted = [0.0] * len(block)
+            for t in sorted((t for t in most if self.common[t]), key=lambda t: (most[t], t)):
+                more = [x + shares.get(t, 0.0) for x, shares in zip(granted, own, strict=True)]
+                if max(more) > 0.95 * self.threshold:
+                    break
+                granted = more
+                del most[t]
+            need[number] -= max(granted)
+            for t, share in most.items():
+                lists[t][number] = share
+        first, where, most, top = np.zeros(len(self.term) + 1, dtype=np.int64), [], [], np.zeros(len(self.term))
         for t in range(len(self.term)):
-            where += lists[t].keys()
-            most += lists[t].values()
+            own = lists.get(t, {})
+            where += own.keys()
+            most += own.values()
+            top[t] = max(own.values(), default=0.0)
             first[t + 1] = len(where)
-        return Blocks(half, blocks, first, np.array(where, dtype=np.int64), np.array(most, dtype=np.float64), need)
+        return Blocks(half, blocks, first, np.array(where, dtype=np.int64), np.array(most, dtype=np.float64), top, need)
 
     def retrieve(self, texts: list[np.ndarray]) -> list[dict[int, list[tuple[float, int, int]]]]:
         """For each text, item -> (score, first word, end) of every window at or above the threshold.
 
         A text is the term numbers of its words, -1 for words that no item has. Texts are
         laid end to end in halves of windows; a window at a seam may see two texts, which
-        can only raise its bound.
+        can only raise its bounds.
         """
         found: list[dict[int, list[tuple[float, int, int]]]] = [defaultdict(list) for _ in texts]
         for part in self.classes:
-            halves = np.array([-(-len(x) // part.half) for x in texts], dtype=np.int64)
-            begins = np.concatenate(([0], np.cumsum(halves)))
-            at, most_halves = 0, max(1, CELLS // max(1, len(part.blocks)))
-            while at < len(texts):  # so many texts that the table of bounds stays small
-                stop = max(at + 1, int(np.searchsorted(begins, begins[at] + most_halves, side="right")) - 1)
-                for window, number in self._candidates(part, texts[at:stop], begins[at : stop + 1] - begins[at]):
-                    k = int(np.searchsorted(begins, begins[at] + window, side="right")) - 1
-                    a = int(begins[at] + window - begins[k]) * part.half
-                    e = min(len(texts[k]), a + 2 * part.half)
-                    here = set(texts[k][a:e].tolist())
+            begins = np.concatenate(([0], np.cumsum([-(-len(x) // part.half) for x in texts])))
+            places, terms = [], []
+            for x, begin in zip(texts, begins, strict=False):
+                rare = np.flatnonzero((x >= 0) & (part.top[x] > 0))
+                places.append(rare + begin * part.half)
+                terms.append(x[rare])
+            place, term = np.concatenate(places), np.concatenate(terms)
+            for low in range(0, int(begins[-1]), WINDOWS):
+                high = min(low + WINDOWS, int(begins[-1]))
+                # Window w has the halves w and w + 1.
+                a, e = np.searchsorted(place, [low * part.half, (high + 1) * part.half])
+                last = -1
+                for window, number in self._candidates(part, place[a:e] // part.half, term[a:e], low, high):
+                    if window != last:
+                        last, k = window, int(np.searchsorted(begins, window, side="right")) - 1
+                        start = int(window - begins[k]) * part.half
+                        end = min(len(texts[k]), start + 2 * part.half)
+                        here = set(texts[k][start:end].tolist())
                     for i in part.blocks[number]:
-                        score = sum(share for t, share in self.shares[i].items() if t in here)
+                        score = sum(share for t, share in zip(*map(np.ndarray.tolist, self.shares[i]), strict=True) if t in here)
                         if score >= self.threshold - 1e-9:
-                            found[k][i].append((score, a, e))
-                at = stop
+                            found[k][i].append((score, start, end))
         return found
 
-    def _candidates(self, part: Blocks, texts: list[np.ndarray], begins: np.ndarray) -> list[tuple[int, int]]:
-        """(window, block) whose bound reaches what the block needs."""
-        windows, blocks = int(begins[-1]), len(part.blocks)
-        if not windows:
-            return []
-        places = np.concatenate([begins[k] * part.half + np.arange(len(x)) for k, x in enumerate(texts)])
-        ids = np.concatenate(texts)
-        rare = (ids >= 0) & ~self.common[ids]
-        window, ids = places[rare] // part.half, ids[rare]
-        # A word counts once in a window, and stands in the two windows that cover its place.
-        pair = np.unique(np.concatenate([window, np.maximum(window - 1, 0)]) * len(self.term) + np.tile(ids, 2))
-        window, term = pair // max(1, len(self.term)), pair % max(1, len(self.term))
-        n = part.first[term + 1] - part.first[term]
-        slot = np.repeat(part.first[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        bound = np.bincount(np.repeat(window, n) * blocks + part.where[slot], weights=part.most[slot], minlength=windows * blocks)
-        hot = np.flatnonzero((bound.reshape(windows, blocks) >= part.need - 1e-9).ravel())
-        return [divmod(int(x), blocks) for x in hot]
-
-    def overlap(self, i: int, words: list[str]) -> tuple[float, float, float]:
+    def _candidates(self, part: Blocks, half: np.ndarray, term: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int]]:
+        """(window, block) whose bounds reach what the block needs, for the windows ``[low, high)``."""
+        window = np.concatenate([half, half - 1])
+        inside = (window >= low) & (window < high)
+        # A word counts once in a window.
+        pair = np.unique((window[inside] - low) * len(self.term) + np.tile(term, 2)[inside])
+        window, term = pair // len(self.term), pair % len(self.term)
+        able = np.bincount(window, weights=part.top[term], minlength=high - low) >= part.need.min() - 1e-9
+        window, term = window[able[window]], term[able[window]]
+        n, blocks = part.first[term + 1] - part.first[term], len(part.blocks)
+        ends = np.cumsum(n)
+        at = 0
+        while at < len(n):
+            # So many whole windows that their lists stay small; one window's lists are bounded by the index.
+            stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CELLS, side="right"))
+            stop = int(np.searchsorted(window, window[stop], side="left")) if stop < len(n) else stop
+            stop = stop if stop > at else int(np.searchsorted(window, window[at], side="right"))
+            t, m = term[at:stop], n[at:stop]
+            slot = np.repeat(part.first[t] - np.cumsum(m) + m, m) + np.arange(m.sum())
+            cells, own = np.unique(np.repeat(window[at:stop], m) * blocks + part.where[slot], return_inverse=True)
+            bound = np.bincount(own, weights=part.most[slot], minlength=len(cells))
+            for c in cells[bound >= part.need[cells % blocks] - 1e-9].tolist():
+                yield low + c // blocks, c % blocks
+            at = stop
+
+    def overlap(self, i: int, ids: np.ndarray) -> tuple[float, float, float]:
         """Shares of the item, its question and its answer that shared runs of words cover."""
-        item, runs = self.words[i], self.runs[i]
+        item = self.items[i]
         step = min(RUN, len(item))
-        there = {tuple(words[k : k + step]) for k in range(len(words) - step + 1)} & runs
+        there = {tuple(x) for x in np.lib.stride_tricks.sliding_window_view(ids, step).tolist()} if len(ids) >= step else set()
         covered = np.zeros(len(item), dtype=bool)
-        for k in range(len(item) - step + 1):
-            if tuple(item[k : k + step]) in there:
+        for k, run in enumerate(np.lib.stride_tricks.sliding_window_view(item, step).tolist()):
+            if tuple(run) in there:
                 covered[k : k + step] = True
         question, answer = covered[: self.split[i]], covered[self.split[i] :]
         return float(covered.mean()), float(question.mean()) if len(question) else 1.0, float(answer.mean()) if len(answer) else 1.0
 
     def matches(self, texts: Iterable[str | None], least: float, least_part: float) -> list[list[tuple[int, float, float, float, float]]]:
         """For each whole text, (item, score, overlap, question, answer) of the items that it holds."""
-        each = [words_of(text) for text in texts]
         get = self.term.get
-        ids = [np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words)) for words in each]
+        each = [np.array([get(w, -1) for w in words_of(text)], dtype=np.int32) for text in texts]
         out = []
-        for words, items in zip(each, self.retrieve(ids) if self.term else [{}] * len(each), strict=True):
+        for ids, items in zip(each, self.retrieve(each) if self.term and each else [{}] * len(each), strict=True):
             out.append([])
             for i, windows in sorted(items.items()):
-                held = ((score, *self.overlap(i, words[a:e])) for score, a, e in windows)
+                held = ((score, *self.overlap(i, ids[a:e])) for score, a, e in windows)
                 # Scores ignore the order of words, so each window is verified; the best verified one is told.
                 verified = [x for x in held if x[1] >= least and x[2] >= least_part and x[3] >= least_part]
                 if verified:
@@ -187,21 +226,21 @@ class Index:
         return out
 
 
-def indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, index_bytes: int = 16 << 20) -> Iterator[Index]:
+def indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, index_bytes: int = 8 << 20) -> Iterator[Index]:
     """One index for each part of the test items of at most about ``index_bytes``."""
     answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("question"), answer.alias("answer"))
-    total = items.agg(F.sum(F.octet_length("question") + F.coalesce(F.octet_length("answer"), F.lit(0)))).first()[0] or 0
+    size = F.coalesce(F.octet_length("question"), F.lit(0)) + F.coalesce(F.octet_length("answer"), F.lit(0))
+    total = items.agg(F.sum(size.cast("long"))).first()[0] or 0
     parts = -(-total // index_bytes)
     for part in range(parts):
-        rows: list[Row] = items.filter(F.pmod(F.xxhash64("id", "question"), F.lit(parts)) == part).collect()
-        ids, words, split = [], [], []
-        for row in sorted(rows, key=lambda r: (r["id"] is None, r["id"], r["question"] or "")):
-            q, a = words_of(row["question"]), words_of(row["answer"])
-            ids.append(row["id"])
+        rows = items.filter(F.pmod(F.xxhash64("id", "question"), F.lit(parts)) == part).orderBy("id", "question", "answer").toArrow()
+        words, split = [], []
+        for question, answer in zip(rows["question"].to_pylist(), rows["answer"].to_pylist(), strict=True):
+            q, a = words_of(question), words_of(answer)
             words.append(q + a)
             split.append(len(q) if a else len(q) // 2)
-        yield Index(ids, words, split, threshold)
+        yield Index(rows["id"].combine_chunks(), words, split, threshold)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, overlap: float = 0.8, part_overlap: float = 0.5, **items) -> DataFrame:
@@ -213,20 +252,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         *[T.StructField(c, T.DoubleType()) for c in ("score", "overlap", "question_overlap", "answer_overlap")],
     ])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    bounded_batches(spark)
     found = None
     for index in indexes(benchmark, threshold, **items):
         shared = spark.sparkContext.broadcast(index)
 
-        def work(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                held = index.matches(batch["text"], overlap, part_overlap)
-                out = [(key, index.ids[i], *rest) for key, items in zip(batch["id"], held, strict=True) for i, *rest in items]
-                frame = pd.DataFrame(out, columns=schema.names)
-                frame[id_col] = frame[id_col].astype(batch["id"].dtype)
-                yield frame
+                held = index.matches(batch.column("text").to_pylist(), overlap, part_overlap)
+                out = [(row, *item) for row, items in enumerate(held) for item in items]
+                row, item, *numbers = zip(*out, strict=True) if out else [()] * 6
+                keys = [batch.column("id").take(pa.array(row, pa.int64())), index.ids.take(pa.array(item, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*keys, *[pa.array(x, pa.float64()) for x in numbers]], names=schema.names)
 
-        part = rows.mapInPandas(work, schema)
+        part = rows.mapInArrow(work, schema)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], schema)
 
@@ -241,6 +281,7 @@ def _is_clean(text: Column, shared: Broadcast, overlap: float, part_overlap: flo
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.5, overlap: float = 0.8, part_overlap: float = 0.5, **items) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
+    bounded_batches(docs.sparkSession)
     for index in indexes(benchmark, threshold, **items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = docs.filter(_is_clean(F.col(text_col), shared, overlap, part_overlap))
