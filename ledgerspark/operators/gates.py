@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerspark.functions.ranges import by_ranges, last_known
+
 
 def snapshot_diff(old: DataFrame, new: DataFrame, least: int = 1) -> DataFrame:
     """(addr, old, new, delta, kind): accounts whose balance changed by at least ``least``."""
@@ -24,9 +26,8 @@ def multiset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def holes(points: DataFrame, column: str) -> DataFrame:
     """(lo, hi): ranges ``[lo, hi)`` of whole numbers that no row covers, between the first and the last."""
-    seen = points.select(F.col(column).alias("p")).distinct()
-    # Distinct block numbers, not transfers, stand in the window.
-    after = seen.withColumn("next", F.lead("p").over(Window.orderBy("p")))
+    seen = by_ranges(points.select(F.col(column).alias("p")).distinct(), "p")
+    after = last_known(seen, ["p"], F.col("p"), "next", strict=True, backward=True)
     return after.filter("next > p + 1").select((F.col("p") + 1).alias("lo"), F.col("next").alias("hi"))
 
 

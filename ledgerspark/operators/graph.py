@@ -142,3 +142,9 @@ def upstream(transfers: DataFrame, members: DataFrame) -> DataFrame:
     sums = into.groupBy(F.col("frm").alias("feeder")).agg(F.sum("v").alias("v"), F.count("*").alias("n"))
     total = sums.agg(F.sum("v").alias("total"))
     return sums.join(F.broadcast(total)).select("feeder", "v", "n", (F.col("v").cast("double") / F.col("total").cast("double")).alias("share"))
+
+
+def hub_class(pairs: DataFrame, private: int = 15, facility: int = 1000) -> DataFrame:
+    """(addr, fan_out, class): private, grey or facility by the number of distinct recipients."""
+    fan = pairs.groupBy(F.col("frm").alias("addr")).agg(F.count("*").alias("fan_out"))
+    return fan.withColumn("class", F.when(F.col("fan_out") <= private, "private").when(F.col("fan_out") <= facility, "grey").otherwise("facility"))

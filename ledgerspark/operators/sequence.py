@@ -6,43 +6,58 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ledgerspark.functions.ranges import PART, by_ranges, last_known, ranked, running
+
 
 def sessions(rows: DataFrame, key: str, gap: int) -> DataFrame:
-    """Adds ``session`` (from 1) within ``key``: silence of strictly more than ``gap`` seconds starts a new one."""
-    order = Window.partitionBy(key).orderBy("ts", "seq")
-    quiet = (F.col("ts") - F.lag("ts").over(order) > gap).cast("long")
-    return rows.withColumn("_new", F.coalesce(quiet, F.lit(1).cast("long"))).withColumn("session", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    """Adds ``session`` (from 1) within ``key``: silence of strictly more than ``gap`` seconds starts a new one. (key, ts, seq) is unique."""
+    order = ["ts", "seq"]
+    before = last_known(by_ranges(rows, key, *order), order, F.col("ts"), "_before", key, strict=True)
+    fresh = F.coalesce((F.col("ts") - F.col("_before") > gap).cast("long"), F.lit(1).cast("long"))
+    return running(before, order, fresh, "session", key).drop("_before", PART)
 
 
 def first_actions(batches: DataFrame, batch: list[str], member: str) -> DataFrame:
     """(batch, member, ts, seq, rank): each member's first action in a batch and its place in the batch's order."""
-    first = batches.groupBy(*batch, member).agg(F.min(F.struct("ts", "seq")).alias("at")).select(*batch, member, "at.ts", "at.seq")
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy(*batch).orderBy("ts", "seq", member)).cast("long"))
+    first = batches.groupBy(*batch, member).agg(F.min(F.struct("ts", "seq")).alias("at"))
+    placed = ranked(first.select(F.struct(*batch).alias("_batch"), member, "at.ts", "at.seq"), ["ts", "seq", member], "rank", "_batch")
+    return placed.select("_batch.*", member, "ts", "seq", "rank")
 
 
 def order_matches(actions: DataFrame, batch: str, member: str, least: int = 4) -> DataFrame:
     """(a, b, common, forward, reverse): batches that share members, and places that agree or mirror among the common ones.
 
-    ``actions``: (batch, member, rank). Only batches with a member in common meet.
+    ``actions``: (batch, member, rank). Only batches with enough members that occur more than
+    once can match, and only those with a member in common meet.
     """
-    a = actions.select(F.col(batch).alias("a"), F.col(member).alias("m"), F.col("rank").alias("ra"))
-    b = actions.select(F.col(batch).alias("b"), F.col(member).alias("m"), F.col("rank").alias("rb"))
+    often = actions.groupBy(member).agg(F.count("*").alias("_n")).filter("_n > 1").select(member)
+    shared = actions.join(often, member, "left_semi")
+    able = shared.groupBy(batch).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least).select(batch)
+    shared = shared.join(able, batch, "left_semi")
+    a = shared.select(F.col(batch).alias("a"), F.col(member).alias("m"), F.col("rank").alias("ra"))
+    b = shared.select(F.col(batch).alias("b"), F.col(member).alias("m"), F.col("rank").alias("rb"))
     pairs = a.join(b, "m").filter("a < b")
-    able = pairs.groupBy("a", "b").agg(F.count("*").alias("common")).filter(F.col("common") >= least)
-    ranked = pairs.join(able, ["a", "b"])
-    ranked = ranked.withColumn("pa", F.row_number().over(Window.partitionBy("a", "b").orderBy("ra"))).withColumn("pb", F.row_number().over(Window.partitionBy("a", "b").orderBy("rb")))
-    return ranked.groupBy("a", "b").agg(F.first("common").alias("common"), F.count_if(F.col("pa") == F.col("pb")).alias("forward"), F.count_if(F.col("pb") == F.col("common") + 1 - F.col("pa")).alias("reverse"))
+    # A pair of batches is one group: as many rows as the smaller of the two has members.
+    both = Window.partitionBy("a", "b")
+    placed = pairs.withColumns({"common": F.count("*").over(both), "pa": F.row_number().over(both.orderBy("ra")), "pb": F.row_number().over(both.orderBy("rb"))})
+    placed = placed.filter(F.col("common") >= least)
+    return placed.groupBy("a", "b").agg(F.first("common").alias("common"), F.count_if(F.col("pa") == F.col("pb")).alias("forward"), F.count_if(F.col("pb") == F.col("common") + 1 - F.col("pa")).alias("reverse"))
+
+
+def p_random(n: Column, matched: Column) -> Column:
+    """Upper bound of the probability that ``matched`` of ``n`` places agree by chance: C(n, m) (n - m)! / n! = 1 / m!; 1 / n! if all agree."""
+    return 1.0 / F.exp(F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(n, matched), F.lit(1)).cast("int")), F.lit(0.0), lambda acc, k: acc + F.ln(k.cast("double"))))
 
 
 def spearman(actions: DataFrame, batch: str, member: str, world: DataFrame, least: int = 6) -> DataFrame:
     """(batch, n, d2, rho): rank correlation of a batch's order with the members' order in ``world`` (member, rank)."""
-    both = actions.select(batch, member, "rank").join(world.select(member, F.col("rank").alias("global")), member)
-    placed = both.withColumn("p", F.row_number().over(Window.partitionBy(batch).orderBy("rank"))).withColumn("g", F.row_number().over(Window.partitionBy(batch).orderBy("global")))
+    both = actions.select(batch, member, F.col("rank").alias("_own")).join(world.select(member, F.col("rank").alias("_world")), member)
+    placed = ranked(ranked(both, ["_own", member], "p", batch), ["_world", member], "g", batch)
     sums = placed.groupBy(batch).agg(F.count("*").alias("n"), F.sum(((F.col("p") - F.col("g")) * (F.col("p") - F.col("g"))).cast("long")).alias("d2")).filter(F.col("n") >= least)
     return sums.withColumn("rho", 1 - 6.0 * F.col("d2") / (F.col("n") * (F.col("n") * F.col("n") - 1)).cast("double"))
 

@@ -150,7 +150,7 @@ def accumulation_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 ANCESTOR_SQL = """
 hop AS (SELECT DISTINCT frm, dst FROM e WHERE frm <> dst),
 term AS (SELECT frm AS addr FROM hop GROUP BY frm HAVING count(*) > 55),
-walk(addr, depth) AS (SELECT 'U7', 0 UNION SELECT hop.frm, walk.depth + 1 FROM walk JOIN hop ON hop.dst = walk.addr WHERE walk.depth < 2 AND walk.addr NOT IN (SELECT addr FROM term))
+walk(addr, depth) AS (SELECT 'U7', 0 UNION SELECT hop.frm, walk.depth + 1 FROM walk JOIN hop ON hop.dst = walk.addr WHERE walk.depth < 10 AND walk.addr NOT IN (SELECT addr FROM term))
 """
 
 
@@ -160,10 +160,10 @@ walk(addr, depth) AS (SELECT 'U7', 0 UNION SELECT hop.frm, walk.depth + 1 FROM w
     ANCESTOR_SQL,
 )
 def ancestors_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts that reach one account within two transfers; busy senders end the walk."""
+    """Accounts that reach one account within ten transfers; busy senders end the walk."""
     pairs = graph.edges(event_flow(spark, sf_dir).withColumn("n", F.lit(1)))
     busy = pairs.filter("frm <> dst").groupBy(F.col("frm").alias("addr")).agg(F.count("*").alias("n")).filter("n > 55")
-    return longs(graph.ancestors(pairs, ["U7"], busy, 2), "depth")
+    return longs(graph.ancestors(pairs, ["U7"], busy, 10), "depth")
 
 
 @register(
@@ -179,6 +179,5 @@ def gross_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("SELECT frm AS addr, count(DISTINCT dst) AS fan_out, CASE WHEN count(DISTINCT dst) <= 15 THEN 'private' WHEN count(DISTINCT dst) <= 100 THEN 'grey' ELSE 'facility' END AS class FROM t WHERE v > 0 GROUP BY frm", TRADE_SQL)
 def hub_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """private, grey or facility by the number of distinct recipients."""
-    fan = graph.edges(trade_ledger(spark, sf_dir)).groupBy(F.col("frm").alias("addr")).agg(F.count("*").alias("fan_out"))
-    return fan.withColumn("class", F.when(F.col("fan_out") <= 15, "private").when(F.col("fan_out") <= 100, "grey").otherwise("facility"))
+    """private, grey or facility by the number of distinct recipients, with a bound that the tables reach."""
+    return graph.hub_class(graph.edges(trade_ledger(spark, sf_dir)), 15, 100)

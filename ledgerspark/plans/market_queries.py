@@ -10,13 +10,14 @@ from ledgerspark.plans.registry import longs, register
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, event_flow, trade_ledger
 
 TICK_SQL = """
-tick AS (SELECT ts, arg_max(v, seq) AS price FROM e WHERE seq % 10 = 0 GROUP BY ts)
+tick AS (SELECT ts, arg_max(v, seq) AS price FROM e WHERE kind = (SELECT min(kind) FROM e) GROUP BY ts)
 """
 
 
 def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event's amount stands for a price."""
-    return event_flow(spark, sf_dir).filter("seq % 10 = 0").groupBy("ts").agg(F.max_by("v", "seq").alias("price"))
+    """The amounts of one kind of events stand for prices."""
+    rows = event_flow(spark, sf_dir)
+    return rows.join(F.broadcast(rows.agg(F.min("kind").alias("kind"))), "kind").groupBy("ts").agg(F.max_by("v", "seq").alias("price"))
 
 
 @register(
@@ -77,12 +78,12 @@ def coverage_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    """WITH c AS (SELECT kind AS tag, min(seq) AS lo, max(seq) AS hi FROM e GROUP BY kind), n AS (SELECT *, lead(lo) OVER (ORDER BY lo, hi, tag) AS next_lo FROM c)
+    """WITH c AS (SELECT kind AS tag, min(seq) AS lo, max(seq) AS hi, count(*) AS n FROM e GROUP BY kind), n AS (SELECT *, lead(lo) OVER (ORDER BY lo, hi, tag) AS next_lo FROM c)
     SELECT *, CASE WHEN next_lo IS NULL THEN 'end' WHEN next_lo > hi THEN 'hole' WHEN next_lo < hi THEN 'overlap' ELSE 'ok' END AS verdict FROM n""",
     FLOW_SQL,
 )
 def channel_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.contiguity(event_flow(spark, sf_dir).groupBy(F.col("kind").alias("tag")).agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")))
+    return gates.contiguity(event_flow(spark, sf_dir).groupBy(F.col("kind").alias("tag")).agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("*").alias("n")))
 
 
 @register(
@@ -118,11 +119,13 @@ def wash_triad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     """WITH x AS (SELECT addr, tx, sum(greatest(x, 0)) AS i, sum(greatest(-x, 0)) AS o FROM d WHERE tx >= 0 GROUP BY ALL)
-    SELECT addr, CAST(sum(least(i, o)) AS BIGINT) AS transit, CAST(sum(i) AS BIGINT) AS inflow FROM x GROUP BY addr HAVING sum(i) > 0""",
+    SELECT addr, CAST(sum(least(i, o)) AS BIGINT) AS transit, CAST(sum(i) AS BIGINT) AS inflow, CAST(sum(least(i, o)) AS DOUBLE) / CAST(sum(i) AS DOUBLE) AS rate, sum(least(i, o)) * 10 > sum(i) * 9 AS flagged
+    FROM x GROUP BY addr HAVING sum(i) > 0""",
     TRADE_SQL,
 )
 def atomic_transit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each account took and sent on within one transaction, and all that it took."""
+    """What each account took and sent on within one transaction, its share of all that it took, and whether that is over 90%."""
     moves = ledger.deltas(trade_ledger(spark, sf_dir).filter("tx >= 0"), "tx")
     per = moves.groupBy("addr", "tx").agg(F.sum(F.greatest("x", F.lit(0))).alias("i"), F.sum(F.greatest(-F.col("x"), F.lit(0))).alias("o"))
-    return longs(per.groupBy("addr").agg(F.sum(F.least("i", "o")).alias("transit"), F.sum("i").alias("inflow")).filter("inflow > 0"), "transit", "inflow")
+    sums = longs(per.groupBy("addr").agg(F.sum(F.least("i", "o")).alias("transit"), F.sum("i").alias("inflow")).filter("inflow > 0"), "transit", "inflow")
+    return sums.withColumns({"rate": F.col("transit").cast("double") / F.col("inflow").cast("double"), "flagged": F.col("transit") * 10 > F.col("inflow") * 9})

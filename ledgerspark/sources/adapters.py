@@ -38,8 +38,9 @@ def trade_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     flag = F.col("l_returnflag")
     buyer = account("C", "o_custkey")
-    other = account("C", (F.col("o_custkey") * 7 + F.col("l_partkey")) % F.lit(customers.count()))
-    trades = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    other = account("C", (F.col("o_custkey") * 7 + F.col("l_partkey")) % F.col("nc"))
+    # The number of customers is one row.
+    trades = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(F.broadcast(customers.agg(F.count("*").alias("nc")))).select(
         (F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01")) + 1).cast("long").alias("block"),
         F.col("l_orderkey").alias("tx"),
         "li",

@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
@@ -38,10 +39,17 @@ def spark(tmp_path_factory) -> SparkSession:
 
 
 def plain(frame: pd.DataFrame) -> list[tuple]:
-    """Rows in a fixed order with columns by name."""
+    """Rows in a fixed order with columns by name; a whole number is one number, whatever type pandas gave its column."""
+
+    def value(x):
+        if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and x != x):
+            return None
+        if isinstance(x, np.generic):
+            x = x.item()
+        return int(x) if isinstance(x, float) and x.is_integer() else x
+
     frame = frame[sorted(frame.columns)]
-    rows = [tuple(None if x is None or x is pd.NA or (isinstance(x, float) and x != x) else x for x in row) for row in frame.itertuples(index=False)]
-    return sorted(rows, key=repr)
+    return sorted((tuple(map(value, row)) for row in frame.itertuples(index=False)), key=repr)
 
 
 def by_duckdb(sql: str, folder: str) -> pd.DataFrame:
