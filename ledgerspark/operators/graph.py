@@ -148,3 +148,13 @@ def hub_class(pairs: DataFrame, private: int = 15, facility: int = 1000) -> Data
     """(addr, fan_out, class): private, grey or facility by the number of distinct recipients."""
     fan = pairs.groupBy(F.col("frm").alias("addr")).agg(F.count("*").alias("fan_out"))
     return fan.withColumn("class", F.when(F.col("fan_out") <= private, "private").when(F.col("fan_out") <= facility, "grey").otherwise("facility"))
+
+
+def candidate_kinds(transfers: DataFrame, retention_pct: int = 50, bot_tx: int = 5000) -> DataFrame:
+    """(addr, inflow, outflow, n_in, n_out, kind): holder by what is kept, bot by turnover or number of transfers, else exited."""
+    got = transfers.groupBy(F.col("dst").alias("addr")).agg(F.sum("v").alias("inflow"), F.count("*").alias("n_in"))
+    sent = transfers.groupBy(F.col("frm").alias("addr")).agg(F.sum("v").alias("outflow"), F.count("*").alias("n_out"))
+    both = got.join(sent, "addr", "left").fillna(0, ["outflow", "n_out"])
+    kept = (F.col("inflow") - F.col("outflow")) * 100 >= F.col("inflow") * retention_pct
+    turned = (F.col("outflow") >= F.col("inflow")) | (F.col("n_in") + F.col("n_out") >= bot_tx)
+    return both.withColumn("kind", F.when(kept, "holder").when(turned, "bot").otherwise("exited"))
