@@ -91,3 +91,35 @@ def co_timed(rows: DataFrame, member: str, *moment: str, least: int = 5) -> Data
     """(moment, members, n, total): moments at which at least ``least`` different members acted."""
     per = rows.groupBy(*moment, member).agg(F.count("*").alias("n"), F.sum("v").alias("v"))
     return per.groupBy(*moment).agg(F.count("*").alias("members"), F.sum("n").alias("n"), F.sum("v").alias("total")).filter(F.col("members") >= least)
+
+
+def merged_candidates(batches: list[frozenset[str]], least: int = 3) -> list[frozenset[str]]:
+    """Candidate groups, each joined to the first earlier one that shares max(least, half of its members); the order decides.
+
+    For the few candidates that a match has left, on the driver.
+    """
+    out: list[frozenset[str]] = []
+    for members in batches:
+        k = next((k for k, other in enumerate(out) if len(members & other) >= max(least, len(members) // 2)), None)
+        if k is None:
+            out.append(members)
+        else:
+            out[k] |= members
+    return out
+
+
+def hit_windows(tested: DataFrame, p: float = 0.002, rho: float = 0.75) -> DataFrame:
+    """Batches of ``permutation_test`` whose order is no chance."""
+    return tested.filter((F.col("p") <= p) & (F.abs("rho") >= rho))
+
+
+def hit_entities(tested: DataFrame, actions: DataFrame, batch: str, member: str, least: int = 6, **limits: float) -> DataFrame:
+    """(addr, root): members joined through the hit batches that they share, in groups of at least ``least``."""
+    from ledgerspark.operators.graph import components
+
+    hits = actions.join(hit_windows(tested, **limits).select(batch), batch, "left_semi")
+    # A star for each batch: its least member with all others.
+    centre = hits.groupBy(batch).agg(F.min(member).alias("frm"))
+    roots = components(hits.join(centre, batch).select("frm", F.col(member).alias("dst")))
+    large = roots.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("root")
+    return roots.join(large, "root", "left_semi").select("addr", "root")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import graph, ledger, market, selection, sequence
+from ledgerspark.operators import curve25519, graph, ledger, market, selection, sequence
 from ledgerspark.plans.registry import longs, register
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, camps, event_flow, exchanges, table, trade_ledger
 
@@ -240,3 +240,10 @@ def cadence_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention, turnover and kind of each account."""
     return longs(graph.candidate_kinds(event_flow(spark, sf_dir)), "inflow", "outflow")
+
+
+@register()
+def owner_on_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts' names as keys of 32 digits in base 58: about half of those of 32 bytes are points of the curve."""
+    digits = F.translate(F.concat(F.md5("p_name"), F.substring(F.md5("p_type"), 1, 12)), "0abcdef", "zABCDEF")
+    return table(spark, sf_dir, "part").select("p_partkey", curve25519.on_curve(digits).alias("on_curve"))

@@ -77,6 +77,14 @@ def cadence_rank_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.permutation_test(_days(spark, sf_dir), "day", "frm", _world(spark, sf_dir))
 
 
+@register()
+def cadence_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Senders joined through days whose order is unlikely at one in ten; random orders have no SQL form."""
+    days = _days(spark, sf_dir)
+    tested = sequence.permutation_test(days, "day", "frm", _world(spark, sf_dir))
+    return sequence.hit_entities(tested, days, "day", "frm", p=0.1, rho=0.0)
+
+
 @register("SELECT ts, count(DISTINCT frm) AS members, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM e GROUP BY ts HAVING count(DISTINCT frm) >= 2", FLOW_SQL)
 def same_second_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(sequence.co_timed(event_flow(spark, sf_dir), "frm", "ts", least=2), "n", "total")
