@@ -1,11 +1,15 @@
 """Waves: accounts that build up together, found greedily from dense windows of first days, and merged by their joint peak.
 
 The greedy choice runs over days: the driver holds counts and sums of individual peaks for each day (one row a
-day, whatever the number of accounts) and asks Spark for the joint peak of a candidate window.
+day, whatever the number of accounts) and asks Spark for the joint peaks of all candidate windows at once.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from decimal import Decimal
+from itertools import accumulate
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,12 +23,14 @@ def day_flows(daily: DataFrame, summary: DataFrame) -> DataFrame:
     return daily.join(first, "addr").groupBy("first_day", "day").agg(F.sum("delta").alias("delta"))
 
 
-def joint_peak(flows: DataFrame, low: int, high: int) -> int:
-    """Largest sum of the balances of the accounts whose first day lies in ``[low, high]``."""
-    days = flows.filter(F.col("first_day").between(low, high)).groupBy("day").agg(F.sum("delta").alias("delta"))
-    # One row a day.
-    held = days.select(F.sum("delta").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)).alias("held"))
-    return int(held.agg(F.max("held")).first()[0] or 0)
+def window_peaks(flows: DataFrame, days: int, windows: list[int]) -> dict[int, int]:
+    """Largest sum of the balances of the accounts whose first day lies in each window of ``days`` days that begins on one of the given days, in one job."""
+    starts = F.sequence(F.col("first_day") - days + 1, F.col("first_day"))
+    each = flows.select(F.explode(starts).alias("window"), "day", "delta").filter(F.col("window").isin(windows))
+    per = each.groupBy("window", "day").agg(F.sum("delta").alias("delta"))
+    # One row a day in each window.
+    held = per.select("window", F.sum("delta").over(Window.partitionBy("window").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)).alias("held"))
+    return {r["window"]: int(r["peak"] or 0) for r in held.groupBy("window").agg(F.max("held").alias("peak")).collect()}
 
 
 def grown(count: dict[int, int], low: int, high: int, most_days: int, gap: int) -> Wave:
@@ -47,47 +53,55 @@ def find(flows: DataFrame, summary: DataFrame, least_peak: int, days: int = 10,
     """
     rows = summary.filter("first_day is not null and peak > 0").groupBy("first_day").agg(F.count("*").alias("n"), F.sum("peak").alias("peak")).collect()
     count, peaks = {r["first_day"]: r["n"] for r in rows}, {r["first_day"]: int(r["peak"]) for r in rows}
-    waves = []
-    while count:
-        inside = lambda d, of: sum(of.get(d + k, 0) for k in range(days))
-        windows = sorted(((inside(d, count), d) for d in count if inside(d, count) >= members), reverse=True)
-        taken = {d for low, high, _ in waves for d in range(low, high + 1)}
-        free = flows.filter(~F.col("first_day").isin(sorted(taken))) if taken else flows
-        seed = next((d for _, d in windows if inside(d, peaks) >= least_peak and joint_peak(free, d, d + days - 1) >= least_peak), None)
+    inside = lambda d, of: sum(of.get(d + k, 0) for k in range(days))
+    waves: list[tuple[int, int, Wave]] = []
+    joint: dict[int, int] = {}
+    while True:
+        # Of the windows with enough members and single peaks, those whose members changed have no joint peak yet.
+        able = sorted(((inside(d, count), d) for d in count if inside(d, count) >= members and inside(d, peaks) >= least_peak), reverse=True)
+        if new := [d for _, d in able if d not in joint]:
+            taken = sorted(d for low, high, _ in waves for d in range(low, high + 1))
+            joint |= window_peaks(flows.filter(~F.col("first_day").isin(taken)) if taken else flows, days, new)
+        seed = next((d for _, d in able if joint.get(d, 0) >= least_peak), None)
         if seed is None:
-            break
+            return waves
         low, high = grown(count, seed, seed + days - 1, most_days, gap)
         for d in range(low, high + 1):
             count.pop(d, None)
             peaks.pop(d, None)
+        joint = {d: x for d, x in joint.items() if d + days - 1 < low or d > high}
         waves.append((low, high, (seed, seed + days - 1)))
-    return waves
 
 
 def merged(flows: DataFrame, waves: list[tuple[int, int, Wave]], gap: int = 7, gain_pct: int = 115) -> list[tuple[int, int, int, Wave]]:
     """(first day, last day, peak, seed): neighbours become one if their joint peak exceeds both by the gain, again until none does.
 
-    Members are the accounts whose first day lies in a wave; days between two merged waves belong to none.
+    Members are the accounts whose first day lies in a wave; days between two merged waves belong to none. Of two seeds that of the higher wave stays.
     """
-    parts = [([(low, high)], joint_peak(flows, low, high), seed) for low, high, seed in sorted(waves)]
-    seed_peak = {seed: joint_peak(flows, *seed) for _, _, seed in waves}
+    spans = flows.sparkSession.createDataFrame([(low, high) for low, high, _ in waves], "low long, high long")
+    # One row for each wave and day on which it changed, whatever the number of accounts.
+    rows = flows.join(F.broadcast(spans), F.col("first_day").between(F.col("low"), F.col("high"))).groupBy("low", "day").agg(F.sum("delta").alias("delta")).collect()
+    moves: dict[int, Counter] = {low: Counter() for low, _, _ in waves}
+    for r in rows:
+        moves[r["low"]][r["day"]] = int(r["delta"])
 
-    def of(spans: list[Wave]) -> int:
-        inside = F.lit(False)
-        for low, high in spans:
-            inside = inside | F.col("first_day").between(low, high)
-        rows = flows.filter(inside)
-        return joint_peak(rows, min(s[0] for s in spans), max(s[1] for s in spans))
+    def peak(change: Counter) -> int:
+        return max(accumulate(change[d] for d in sorted(change)), default=0)
 
+    def total(a: Counter, b: Counter) -> Counter:
+        return Counter({d: a[d] + b[d] for d in a.keys() | b.keys()})
+
+    parts = [(low, high, moves[low], peak(moves[low]), seed, peak(moves[low])) for low, high, seed in sorted(waves)]
     at = 0
     while at + 1 < len(parts):
-        (a, peak_a, seed_a), (b, peak_b, seed_b) = parts[at], parts[at + 1]
-        if b[0][0] - a[-1][1] <= gap and (peak := of(a + b)) * 100 > max(peak_a, peak_b) * gain_pct:
-            parts[at : at + 2] = [(a + b, peak, seed_a if seed_peak[seed_a] >= seed_peak[seed_b] else seed_b)]
+        a, b = parts[at], parts[at + 1]
+        both = total(a[2], b[2])
+        if b[0] - a[1] <= gap and peak(both) * 100 > max(a[3], b[3]) * gain_pct:
+            parts[at : at + 2] = [(a[0], b[1], both, peak(both), *(a[4:] if a[5] >= b[5] else b[4:]))]
             at = 0
         else:
             at += 1
-    return [(spans[0][0], spans[-1][1], peak, seed) for spans, peak, seed in parts]
+    return [(low, high, most, seed) for low, high, _, most, seed, _ in parts]
 
 
 def waves(daily: DataFrame, summary: DataFrame, least_peak: int, **options) -> DataFrame:
@@ -100,8 +114,6 @@ def waves(daily: DataFrame, summary: DataFrame, least_peak: int, **options) -> D
     flows = checkpointed(day_flows(daily, summary))
     found = find(flows, summary, least_peak, **options)
     schema = "first_day long, last_day long, peak decimal(38,0), seed_day long"
-    from decimal import Decimal
-
     spans = spark.createDataFrame([(low, high, Decimal(peak), seed[0]) for low, high, peak, seed in merged(flows, found)], schema)
     parts = spark.createDataFrame([(low, high) for low, high, _ in found], "low long, high long")
     # A few waves: broadcast.
