@@ -117,9 +117,9 @@ def hit_entities(tested: DataFrame, actions: DataFrame, batch: str, member: str,
     """(addr, root): members joined through the hit batches that they share, in groups of at least ``least``."""
     from ledgerspark.operators.graph import components
 
-    hits = actions.join(hit_windows(tested, **limits).select(batch), batch, "left_semi")
+    hits = actions.join(hit_windows(tested, **limits).select(batch), batch, "left_semi").select(batch, F.col(member).alias("dst"))
     # A star for each batch: its least member with all others.
-    centre = hits.groupBy(batch).agg(F.min(member).alias("frm"))
-    roots = components(hits.join(centre, batch).select("frm", F.col(member).alias("dst")))
+    centre = hits.groupBy(batch).agg(F.min("dst").alias("frm"))
+    roots = components(hits.join(centre, batch).select("frm", "dst"))
     large = roots.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("root")
     return roots.join(large, "root", "left_semi").select("addr", "root")
