@@ -9,22 +9,22 @@ the target.
 
 Every word and every pair of neighbours is counted exactly, whatever their number:
 
-1. each task gathers rows of one fold into chunks of about ``CHUNK_BYTES`` of text and
-   counts each chunk's distinct words, contexts and pairs;
+1. each task gathers rows into chunks of about ``CHUNK_BYTES`` of text and counts each
+   chunk's distinct words, contexts and pairs;
 2. these are dealt by their hash over buckets, whose number grows with the corpus. A
    frequent one comes once a chunk, so no key is hot;
 3. a bucket adds up equal words and pairs, compared by their bytes, and answers each
-   chunk with the other fold's counts, in the order in which the chunk asked;
-4. each chunk meets its answers and its rows are scored.
+   chunk with the counts of the whole corpus, in the order in which the chunk asked;
+4. each chunk meets its answers, takes from them what a row itself added and scores the row.
 
-Nothing is broadcast; the driver gets the number of words and of tokens. Rows are dealt to
-two folds by the CRC-32 of their id and each row is scored with the counts of the other
-fold, so no text is scored by counts that it added to.
+Nothing is broadcast; the driver gets the number of words and of tokens. Each row is scored
+by all other rows: its own counts are left out of both models, so no text is scored by
+counts that it added to, and a text that another row repeats is well known to the background.
 
 Defined cases: null and empty texts have no tokens and score 0 with losses 0; rows with a
-null id belong to fold 0 and are not targets; of repeated labels for an id the largest
-counts; repeated rows are counted and scored each; with no target rows at all the target
-model is uniform; very long texts are counted and scored whole; other columns are not read.
+null id are not targets; of repeated labels for an id the largest counts; repeated rows are
+counted and scored each, by the counts of their copies, too; with no other target row the
+target model is uniform; very long texts are counted and scored whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +51,6 @@ CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 6 << 20
 
 
-def fold(id_col: Column) -> Column:
-    return F.coalesce((F.crc32(id_col.cast("string")) % 2).cast("int"), F.lit(0))
-
-
 def _pairs(codes: list[np.ndarray], words: int) -> np.ndarray:
     """Every token with the one before it as one number; word 0 is the start of a text."""
     if not codes:
@@ -81,14 +77,14 @@ def _counted(values: list[np.ndarray], size: int) -> np.ndarray:
 
 
 def staged(docs: DataFrame) -> DataFrame:
-    """Chunks of (id, fold, is_target, text as bytes), one row each, written to the shared folder.
+    """Chunks of (id, is_target, text as bytes), one row each, written to the shared folder.
 
     ``words`` are the chunk's words in order, a line each; ``codes`` their numbers, text by text.
     """
-    parts = "chunk string, fold int, tokens long, targets long, goods binary, sizes binary, codes binary, words binary"
+    parts = "chunk string, tokens long, targets long, goods binary, sizes binary, codes binary, words binary"
     schema = T.StructType([T.StructField("ids", T.ArrayType(docs.schema["id"].dataType)), *T.StructType.fromDDL(parts).fields])
 
-    def chunk(rows: pa.Table, f: int) -> pa.RecordBatch:
+    def chunk(rows: pa.Table) -> pa.RecordBatch:
         number: dict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
         number[b""]
@@ -101,27 +97,24 @@ def staged(docs: DataFrame) -> DataFrame:
         rank[np.fromiter((number[w] for w in words), dtype=np.int64, count=len(words))] = np.arange(len(words))
         goods, sizes = np.array(rows["is_target"].to_pylist(), dtype=bool), np.array([len(x) for x in found], dtype="<i8")
         ids = pa.concat_arrays(rows["id"].chunks)
-        values = (uuid.uuid4().hex, f, int(sizes.sum()), int(sizes[goods].sum()), goods.tobytes(), sizes.tobytes(), rank[np.concatenate(found)].tobytes(), b"\n".join(words))
-        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
+        values = (uuid.uuid4().hex, int(sizes.sum()), int(sizes[goods].sum()), goods.tobytes(), sizes.tobytes(), rank[np.concatenate(found)].tobytes(), b"\n".join(words))
+        kinds = (pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
         arrays = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([v], k) for v, k in zip(values, kinds, strict=True))]
         return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = {0: [], 1: []}, {0: 0, 1: 0}
+        held, size = [], 0
         for batch in batches:
-            for f in held:
-                part = batch.filter(pc.equal(batch.column("fold"), f))
-                if part.num_rows:
-                    held[f].append(part)
-                    size[f] += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
-                if size[f] > CHUNK_BYTES:
-                    yield chunk(pa.Table.from_batches(held[f]), f)
-                    held[f], size[f] = [], 0
-        for f in held:
-            if held[f]:
-                yield chunk(pa.Table.from_batches(held[f]), f)
+            if batch.num_rows:
+                held.append(batch)
+                size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+            if size > CHUNK_BYTES:
+                yield chunk(pa.Table.from_batches(held))
+                held, size = [], 0
+        if held:
+            yield chunk(pa.Table.from_batches(held))
 
-    return _written(docs.select("id", "fold", "is_target", "text").mapInArrow(work, schema), "lm-chunks")
+    return _written(docs.select("id", "is_target", "text").mapInArrow(work, schema), "lm-chunks")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -141,13 +134,13 @@ def _texts(sizes: bytes, codes: bytes) -> list[np.ndarray]:
 
 
 def asked(chunks: DataFrame, buckets: int) -> DataFrame:
-    """(chunk, fold, bucket, grams, target, background): of each chunk and bucket its grams and their counts.
+    """(chunk, bucket, grams, target, background): of each chunk and bucket its grams and their counts.
 
     A word is its bytes, a context has a space behind it, a pair a space between; each ends its line.
     """
-    kinds = pa.schema([("chunk", pa.string()), ("fold", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary()), ("target", pa.binary()), ("background", pa.binary())])
+    kinds = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("grams", pa.binary()), ("target", pa.binary()), ("background", pa.binary())])
 
-    def ask(key: str, f: int, goods: bytes, sizes: bytes, codes: bytes, words: bytes) -> pa.RecordBatch:
+    def ask(key: str, goods: bytes, sizes: bytes, codes: bytes, words: bytes) -> pa.RecordBatch:
         words, found = words.split(b"\n"), _texts(sizes, codes)
         good = [x for x, t in zip(found, np.frombuffer(goods, bool), strict=True) if t]
         n = len(words)
@@ -170,36 +163,36 @@ def asked(chunks: DataFrame, buckets: int) -> DataFrame:
         grams = pa.concat_arrays([names, contexts, both]).take(pa.array(order))
         blobs = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), grams), pa.scalar(b"\n", pa.binary()))
         m = len(first)
-        return pa.RecordBatch.from_arrays([pa.array([key] * m, pa.string()), pa.array([f] * m, pa.int32()), pa.array(place[order][first], pa.int32()), blobs, *columns], schema=kinds)
+        return pa.RecordBatch.from_arrays([pa.array([key] * m, pa.string()), pa.array(place[order][first], pa.int32()), blobs, *columns], schema=kinds)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 yield ask(*(c[k].as_py() for c in batch.columns))
 
-    return chunks.select("chunk", "fold", "goods", "sizes", "codes", "words").mapInArrow(work, "chunk string, fold int, bucket int, grams binary, target binary, background binary")
+    return chunks.select("chunk", "goods", "sizes", "codes", "words").mapInArrow(work, "chunk string, bucket int, grams binary, target binary, background binary")
 
 
 def slot_counts(docs: DataFrame) -> DataFrame:
-    """(fold, slot, gram, target, background): exact counts over all rows of (fold, is_target, text as bytes).
+    """(slot, gram, target, background): exact counts over all rows of (is_target, text as bytes).
 
     Slots: words first, then contexts (with a space behind), then pairs.
     """
-    rows = asked(staged(docs.withColumn("id", F.lit(None).cast("long"))), 1).select("fold", "grams", "target", "background")
+    rows = asked(staged(docs.withColumn("id", F.lit(None).cast("long"))), 1).select("grams", "target", "background")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for f, grams, target, background in batch.itertuples(index=False):
+            for grams, target, background in batch.itertuples(index=False):
                 grams = grams.split(b"\n")
                 slot = [0 if b" " not in g else WORDS if g[-1:] == b" " else WORDS + 1 for g in grams]
-                yield pd.DataFrame({"fold": f, "slot": slot, "gram": grams, "target": np.frombuffer(target, "<u4"), "background": np.frombuffer(background, "<u4")})
+                yield pd.DataFrame({"slot": slot, "gram": grams, "target": np.frombuffer(target, "<u4"), "background": np.frombuffer(background, "<u4")})
 
-    found = rows.mapInPandas(work, "fold int, slot int, gram binary, target long, background long").filter("background > 0")
-    return found.groupBy("fold", "slot", "gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    found = rows.mapInPandas(work, "slot int, gram binary, target long, background long").filter("background > 0")
+    return found.groupBy("slot", "gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
 def answers(requests: DataFrame) -> DataFrame:
-    """(chunk, bucket, target, background, words): the other fold's counts, and the bucket's number of words."""
+    """(chunk, bucket, target, background, words): the counts over all chunks, and the bucket's number of words."""
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         lines = np.frombuffer(b"\n".join(part["grams"]) + b"\n", np.uint8)
@@ -209,16 +202,21 @@ def answers(requests: DataFrame) -> DataFrame:
         # Neither contexts nor pairs, which have a space, nor the start of a text, which is an empty line.
         words = int(np.sum((pc.count_substring(names, " ").to_numpy() == 0) & (pc.binary_length(names).to_numpy() > 1)))
         sizes = np.array([len(x) // 4 for x in part["background"]])
-        folds, n = np.repeat(part["fold"].to_numpy().astype(np.int64), sizes), len(names)
         out = {"chunk": part["chunk"], "bucket": part["bucket"]}
         for c in ("target", "background"):
-            total = np.bincount(folds * n + codes, weights=np.frombuffer(b"".join(part[c]), "<u4"), minlength=2 * n).astype("<i8")
-            out[c] = [x.tobytes() for x in np.split(total[(1 - folds) * n + codes], np.cumsum(sizes)[:-1])]
+            total = np.bincount(codes, weights=np.frombuffer(b"".join(part[c]), "<u4"), minlength=len(names)).astype("<i8")
+            out[c] = [x.tobytes() for x in np.split(total[codes], np.cumsum(sizes)[:-1])]
         return pd.DataFrame(out | {"words": words})
 
     return _written(requests.groupBy("bucket").applyInPandas(add, "chunk string, bucket int, target binary, background binary, words long"), "lm-answers")
 
 
+def _own(row: np.ndarray, gram: np.ndarray, grams: int) -> np.ndarray:
+    """Of each token how often its gram stands in its own row."""
+    _, at, count = np.unique(row * grams + gram, return_inverse=True, return_counts=True)
+    return count[at]
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", prior: float = 50.0) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score) of every row against models of all rows; target rows have a positive label."""
     bounded_batches(docs.sparkSession)
@@ -229,13 +227,10 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
     # A null id has no label; such rows are dealt by their texts, not all to one task.
     spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(0)
     good = good.withColumn("spread", F.lit(0).cast("long"))
-    marked = rows.withColumn("spread", spread.cast("long")).join(good.hint("merge"), ["id", "spread"], "left").select("id", fold(F.col("id")).alias("fold"), F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
+    marked = rows.withColumn("spread", spread.cast("long")).join(good.hint("merge"), ["id", "spread"], "left").select("id", F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
     chunks = staged(marked)
     replies = answers(asked(chunks, buckets))
-    # At most one row a fold, and one number.
-    totals = np.zeros((2, 2))
-    for r in chunks.groupBy("fold").agg(F.sum("targets").alias("t"), F.sum("tokens").alias("b")).collect():
-        totals[r["fold"]] = r["t"], r["b"]
+    totals = np.array(chunks.agg(F.coalesce(F.sum("targets"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first(), dtype=np.float64)
     words = max(1, replies.groupBy("bucket").agg(F.max("words").alias("words")).agg(F.sum("words")).first()[0] or 0)
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType),
@@ -244,23 +239,26 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
     ])
 
     def score(chunk: pa.Table, replies: pa.Table) -> pa.Table:
-        f, hashes = chunk["fold"][0].as_py(), _hashes(chunk["words"][0].as_py().split(b"\n"))
+        hashes = _hashes(chunk["words"][0].as_py().split(b"\n"))
         codes = _texts(chunk["sizes"][0].as_py(), chunk["codes"][0].as_py())
         pairs, at = np.unique(_pairs(codes, len(hashes)), return_inverse=True)
         order = np.argsort(_dealt(hashes, pairs, buckets), kind="stable")
         replies = replies.sort_by("bucket")
-        before, after, n = pairs // len(hashes), pairs % len(hashes), len(hashes)
-        size = np.array([len(x) for x in codes], dtype=np.int64)
+        n, size = len(hashes), np.array([len(x) for x in codes], dtype=np.int64)
         row = np.repeat(np.arange(len(codes)), size)
+        # Of each token the places of its word, its context and its pair among the counts.
+        grams = ((pairs % n)[at], n + (pairs // n)[at], 2 * n + at)
+        own = [_own(row, g, len(order)) for g in grams]
         losses = []
-        for k, c in enumerate(("target", "background")):
-            counts = np.empty(len(order), dtype=np.float64)
+        for c, total, adds in (("target", totals[0], np.frombuffer(chunk["goods"][0].as_py(), bool)), ("background", totals[1], np.ones(len(codes), dtype=bool))):
+            counts = np.empty(len(order), dtype=np.int64)
             counts[order] = np.frombuffer(b"".join(x.as_py() for x in replies[c]), "<i8")
-            unigram = (counts[:n][after] + 1.0) / (totals[1 - f, k] + words)
-            loss = -np.log((counts[2 * n :] + prior * unigram) / (counts[n : 2 * n][before] + prior))
-            losses.append(np.bincount(row, weights=loss[at], minlength=len(codes)) / np.maximum(size, 1))
+            word, context, pair = (counts[g] - o * adds[row] for g, o in zip(grams, own, strict=True))
+            unigram = (word + 1.0) / (total - size * adds + words)[row]
+            loss = -np.log((pair + prior * unigram) / (context + prior))
+            losses.append(np.bincount(row, weights=loss, minlength=len(codes)) / np.maximum(size, 1))
         return pa.table([pc.list_flatten(chunk["ids"]), size, *losses, losses[0] - losses[1]], names=schema.names)
 
-    left = chunks.select("chunk", "fold", "words", "ids", "sizes", "codes")
+    left = chunks.select("chunk", "words", "ids", "goods", "sizes", "codes")
     right = replies.select("chunk", "bucket", "target", "background")
     return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(score, schema)

@@ -442,9 +442,23 @@ def test_lm_scores_prefer_the_target(spark):
 
 
 def test_lm_counts_equal_plain_counts(spark):
-    docs = spark.createDataFrame([(0, True, b"a b a b"), (1, False, b"b c")], "fold int, is_target boolean, text binary")
-    counts = lm_scoring.slot_counts(docs).filter(f"slot < {lm_scoring.WORDS}").groupBy("fold").sum("background", "target").orderBy("fold").collect()
-    assert [tuple(r) for r in counts] == [(0, 4, 4), (1, 2, 0)]
+    docs = spark.createDataFrame([(True, b"a b a b"), (False, b"b c")], "is_target boolean, text binary").repartition(2)
+    counts = lm_scoring.slot_counts(docs).filter(f"slot < {lm_scoring.WORDS}").orderBy("gram").collect()
+    assert [(bytes(r["gram"]), r["target"], r["background"]) for r in counts] == [(b"a", 2, 2), (b"b", 2, 3), (b"c", 0, 1)]
+
+
+def test_lm_scores_tell_copies_apart(spark):
+    """A text that stands in the corpus twice is known to the background, so it scores higher than texts that stand there once."""
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 500, 120))) for k in range(120)]
+    rows += [(1000 + k, rows[k][1]) for k in range(0, 120, 10)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, k % 3 % 2) for k in range(120)], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in lm_scoring.cross_entropy_difference(docs, labels).collect()}
+    twice = {k for k, _ in rows if k >= 1000 or k % 10 == 0 and k % 3 % 2 == 0}
+    ones = {k for k, _ in rows if k < 1000 and k % 10}
+    # Copies of a target know that target, so they are left to the brute force.
+    copies = {k for k in twice if (k % 1000) % 3 % 2 == 0}
+    assert len(copies) > 10 and min(scores[k] for k in copies) > max(scores[k] for k in ones)
 
 
 def test_lm_scores_by_brute_force(spark, monkeypatch):
@@ -455,21 +469,27 @@ def test_lm_scores_by_brute_force(spark, monkeypatch):
     rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.2, 400) % 300_000)) for k in range(400)] + [(400, None), (None, "w1 w2 w1"), (2**60 + 1, "w1 w3")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(400)], "doc_id long, quality int")
-    of = lambda k: zlib.crc32(str(k).encode()) % 2 if k is not None else 0
-    word, context, pair, total = (defaultdict(Counter) for _ in range(4))
-    for k, text in rows:
+    rows += [(k + 1000, text) for k, text in rows[:5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    good = lambda k: k is not None and k < 400 and k % 3 == 0
+
+    def counts(text):
         tokens = (text or "").split()
-        for model in ["b", "t"] if k is not None and k < 400 and k % 3 == 0 else ["b"]:
-            word[of(k), model].update(tokens)
-            context[of(k), model].update(["", *tokens][:-1] if tokens else [])
-            pair[of(k), model].update(zip(["", *tokens], tokens))
-            total[of(k), model]["n"] += len(tokens)
-    vocabulary = len({w for c in word.values() for w in c})
+        return Counter(tokens), Counter(["", *tokens][:-1] if tokens else []), Counter(zip(["", *tokens], tokens)), Counter(n=len(tokens))
+
+    models = {m: [Counter(), Counter(), Counter(), Counter()] for m in "tb"}
+    for k, text in rows:
+        for m in "tb" if good(k) else "b":
+            for whole, part in zip(models[m], counts(text), strict=True):
+                whole.update(part)
+    vocabulary = len(models["b"][0])
     assert vocabulary > 10_000
 
-    def loss(k, text, model):
-        f, tokens = (1 - of(k), model), text.split()
-        return np.mean([-np.log((pair[f][a, b] + 50 * (word[f][b] + 1) / (total[f]["n"] + vocabulary)) / (context[f][a] + 50)) for a, b in zip(["", *tokens], tokens)])
+    def loss(k, text, m):
+        """Every count of the model less the row's own."""
+        word, context, pair, total = ((lambda g, w=w, o=o: w[g] - (o[g] if m == "b" or good(k) else 0)) for w, o in zip(models[m], counts(text), strict=True))
+        tokens = text.split()
+        return np.mean([-np.log((pair((a, b)) + 50 * (word(b) + 1) / (total("n") + vocabulary)) / (context(a) + 50)) for a, b in zip(["", *tokens], tokens)])
 
     got = {r["doc_id"]: r for r in lm_scoring.cross_entropy_difference(docs, labels).collect()}
     assert len(got) == len(rows) and (got[400]["n_tokens"], got[400]["score"]) == (0, 0)
