@@ -46,9 +46,10 @@ from ledgerspark.llm._common import bounded_batches, fresh_path
 
 #: Kinds of grams in ``slot_counts``: words lie below this number, contexts at it, pairs above.
 WORDS = 1
-#: Text of a chunk, and of the corpus for each bucket.
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 6 << 20
+#: Text of a chunk with so much for each row, and of the corpus for each bucket.
+CHUNK_BYTES = 3 << 20
+ROW_BYTES = 16
+BUCKET_BYTES = 4 << 20
 
 
 def _pairs(codes: list[np.ndarray], words: int) -> np.ndarray:
@@ -105,12 +106,15 @@ def staged(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-            if size > CHUNK_BYTES:
-                yield chunk(pa.Table.from_batches(held))
-                held, size = [], 0
+            # A row has a price of its own, so that many empty texts fill a chunk, too.
+            sizes, at = ROW_BYTES + np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), dtype=np.int64), 0
+            while at < batch.num_rows:
+                upto = at + 1 + int(np.searchsorted(np.cumsum(sizes[at:]), CHUNK_BYTES - size))
+                held.append(batch.slice(at, upto - at))
+                size, at = size + int(sizes[at:upto].sum()), upto
+                if size >= CHUNK_BYTES:
+                    yield chunk(pa.Table.from_batches(held))
+                    held, size = [], 0
         if held:
             yield chunk(pa.Table.from_batches(held))
 
