@@ -38,6 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +48,7 @@ from ledgerspark.llm._common import bounded_batches, fresh_path
 #: Kinds of grams in ``slot_counts``: words lie below this number, contexts at it, pairs above.
 WORDS = 1
 #: Text of a chunk with so much for each row, and of the corpus for each bucket.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 4 << 20
 ROW_BYTES = 16
 BUCKET_BYTES = 4 << 20
 
@@ -73,6 +74,15 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), dtype="<u4", count=len(words))
 
 
+def _packed(blobs: list[bytes]) -> list[bytes]:
+    """Compressed: sorted grams share their beginnings and most counts are small."""
+    return list(map(zstandard.ZstdCompressor(level=3).compress, blobs))
+
+
+def _unpacked(blobs: list[bytes]) -> list[bytes]:
+    return list(map(zstandard.ZstdDecompressor().decompress, blobs))
+
+
 def _counted(values: list[np.ndarray], size: int) -> np.ndarray:
     return np.bincount(np.concatenate(values), minlength=size) if values else np.zeros(size, dtype=np.int64)
 
@@ -140,7 +150,7 @@ def _texts(sizes: bytes, codes: bytes) -> list[np.ndarray]:
 def asked(chunks: DataFrame, buckets: int) -> DataFrame:
     """(chunk, bucket, grams, target, background): of each chunk and bucket its grams and their counts.
 
-    A word is its bytes, a context has a space behind it, a pair a space between; each ends its line.
+    A word is its bytes, a context has a space behind it, a pair a space between; each ends its line. All three are compressed.
     """
     kinds = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("grams", pa.binary()), ("target", pa.binary()), ("background", pa.binary())])
 
@@ -160,12 +170,13 @@ def asked(chunks: DataFrame, buckets: int) -> DataFrame:
         for texts, of_pairs in ((good, target), (found, background)):
             contexts = np.bincount(pairs // n, weights=of_pairs, minlength=n).astype(np.int64)
             counts = np.concatenate([_counted(texts, n), contexts, of_pairs]).astype("<u4")[order]
-            columns.append(pa.array([counts[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary()))
+            columns.append(pa.array(_packed([counts[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]), pa.binary()))
         names, space = pa.array(words, pa.binary()), pa.scalar(b" ", pa.binary())
         contexts = pc.binary_join_element_wise(names, pa.scalar(b"", pa.binary()), space)
         both = pc.binary_join_element_wise(names.take(pa.array(pairs // n)), names.take(pa.array(pairs % n)), space)
         grams = pa.concat_arrays([names, contexts, both]).take(pa.array(order))
         blobs = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), grams), pa.scalar(b"\n", pa.binary()))
+        blobs = pa.array(_packed(blobs.to_pylist()), pa.binary())
         m = len(first)
         return pa.RecordBatch.from_arrays([pa.array([key] * m, pa.string()), pa.array(place[order][first], pa.int32()), blobs, *columns], schema=kinds)
 
@@ -186,7 +197,8 @@ def slot_counts(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for grams, target, background in batch.itertuples(index=False):
+            for row in batch.itertuples(index=False):
+                grams, target, background = _unpacked(row)
                 grams = grams.split(b"\n")
                 slot = [0 if b" " not in g else WORDS if g[-1:] == b" " else WORDS + 1 for g in grams]
                 yield pd.DataFrame({"slot": slot, "gram": grams, "target": np.frombuffer(target, "<u4"), "background": np.frombuffer(background, "<u4")})
@@ -199,17 +211,18 @@ def answers(requests: DataFrame) -> DataFrame:
     """(chunk, bucket, target, background, words): the counts over all chunks, and the bucket's number of words."""
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
-        lines = np.frombuffer(b"\n".join(part["grams"]) + b"\n", np.uint8)
+        lines = np.frombuffer(b"\n".join(_unpacked(part["grams"])) + b"\n", np.uint8)
         offsets = np.concatenate(([0], np.flatnonzero(lines == 10) + 1)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(lines)]).dictionary_encode()
         codes, names = coded.indices.to_numpy(), coded.dictionary
         # Neither contexts nor pairs, which have a space, nor the start of a text, which is an empty line.
         words = int(np.sum((pc.count_substring(names, " ").to_numpy() == 0) & (pc.binary_length(names).to_numpy() > 1)))
-        sizes = np.array([len(x) // 4 for x in part["background"]])
+        counts = {c: _unpacked(part[c]) for c in ("target", "background")}
+        sizes = np.array([len(x) // 4 for x in counts["background"]])
         out = {"chunk": part["chunk"], "bucket": part["bucket"]}
-        for c in ("target", "background"):
-            total = np.bincount(codes, weights=np.frombuffer(b"".join(part[c]), "<u4"), minlength=len(names)).astype("<i8")
-            out[c] = [x.tobytes() for x in np.split(total[codes], np.cumsum(sizes)[:-1])]
+        for c, values in counts.items():
+            total = np.bincount(codes, weights=np.frombuffer(b"".join(values), "<u4"), minlength=len(names)).astype("<i8")
+            out[c] = _packed([x.tobytes() for x in np.split(total[codes], np.cumsum(sizes)[:-1])])
         return pd.DataFrame(out | {"words": words})
 
     return _written(requests.groupBy("bucket").applyInPandas(add, "chunk string, bucket int, target binary, background binary, words long"), "lm-answers")
@@ -256,7 +269,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
         losses = []
         for c, total, adds in (("target", totals[0], np.frombuffer(chunk["goods"][0].as_py(), bool)), ("background", totals[1], np.ones(len(codes), dtype=bool))):
             counts = np.empty(len(order), dtype=np.int64)
-            counts[order] = np.frombuffer(b"".join(x.as_py() for x in replies[c]), "<i8")
+            counts[order] = np.frombuffer(b"".join(_unpacked(replies[c].to_pylist())), "<i8")
             word, context, pair = (counts[g] - o * adds[row] for g, o in zip(grams, own, strict=True))
             unigram = (word + 1.0) / (total - size * adds + words)[row]
             loss = -np.log((pair + prior * unigram) / (context + prior))
