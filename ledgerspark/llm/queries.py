@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat_format, chat_repair, decontaminate, importance, lm_scoring, packing, quality_rules, secret_scan, simhash_dedup, token_rollup, toxicity, url_filter
+from ledgerspark.llm import chat_format, chat_repair, decontaminate, fingerprint, importance, lm_scoring, packing, quality_rules, secret_scan, simhash_dedup, token_rollup, toxicity, url_filter
 from ledgerspark.llm._common import cut, fresh_path
 
 #: Rules of the registered URL query.
@@ -91,6 +91,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.chained(table(spark, sf_dir, "documents"))
+
+
 def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.audit(table(spark, sf_dir, "conversations"), damaged=True)
 
@@ -111,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality_rules": op9_quality_rules,
         "op10_decontaminate": op10_decontaminate,
+        "op11_fingerprints": op11_fingerprints,
         "op12_chat_repair": op12_chat_repair,
         "op13_importance_resampling": op13_importance_resampling,
     }
