@@ -33,9 +33,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with secrets masked and n_chars counted anew; a null text stays null and so does its count."""
+    """All rows, with secrets masked and n_chars, where there is such a column, counted anew; a null text stays null and so does its count."""
     bounded_batches(spark)
-    return docs.withColumn("text", secret_scan.redacted(F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
+    masked = docs.withColumn("text", secret_scan.redacted(F.col("text")))
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a table of the shared folder that nothing reads any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -45,11 +45,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm._common import bounded_batches
+from ledgerspark.llm._common import bounded_batches, cut
 
 #: Words of a shared run.
 RUN = 5
@@ -226,15 +226,32 @@ class Index:
         return out
 
 
-def indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, index_bytes: int = 8 << 20) -> Iterator[Index]:
-    """One index for each part of the test items of at most about ``index_bytes``."""
+def indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text", answer_col: str | None = None, index_bytes: int = 8 << 20, distinct: bool = False) -> Iterator[Index]:
+    """One index for each part of the test items of at most ``index_bytes``; only items of over half of that can make a part larger, by one item.
+
+    ``distinct``: items with equal texts once, where only it matters that one is held.
+    """
     answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("question"), answer.alias("answer"))
     size = F.coalesce(F.octet_length("question"), F.lit(0)) + F.coalesce(F.octet_length("answer"), F.lit(0))
-    total = items.agg(F.sum(size.cast("long"))).first()[0] or 0
-    parts = -(-total // index_bytes)
-    for part in range(parts):
-        rows = items.filter(F.pmod(F.xxhash64("id", "question"), F.lit(parts)) == part).orderBy("id", "question", "answer").toArrow()
+    if distinct:
+        items = items.groupBy("question", "answer").agg(F.min("id").alias("id")).select("id", "question", "answer")
+    order = ["id", "question", "answer", "_row"]
+    ranged = items.withColumns({"_size": size.cast("long"), "_row": F.monotonically_increasing_id()}).repartitionByRange(*order).sortWithinPartitions(*order)
+    # Within a range, by what its items have before them; a cell holds less than half a part, or one item.
+    before = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    ranged = cut(ranged.withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}))
+    ranged = cut(ranged.withColumn("_cell", F.floor((F.sum("_size").over(before) - F.col("_size")) / max(1, index_bytes // 2))))
+    parts, room = [], 0
+    # A row for each range and half a part of items.
+    for r in ranged.groupBy("_range", "_cell").agg(F.sum("_size").alias("size"), F.min("_place").alias("low"), F.max("_place").alias("high")).orderBy("low").collect():
+        if not parts or r["size"] > room:
+            parts.append([r["low"], r["high"]])
+            room = index_bytes
+        parts[-1][1] = r["high"]
+        room -= r["size"]
+    for low, high in parts:
+        rows = ranged.filter(F.col("_place").between(low, high)).orderBy("_place").select("id", "question", "answer").toArrow()
         words, split = [], []
         for question, answer in zip(rows["question"].to_pylist(), rows["answer"].to_pylist(), strict=True):
             q, a = words_of(question), words_of(answer)
@@ -282,7 +299,7 @@ def _is_clean(text: Column, shared: Broadcast, overlap: float, part_overlap: flo
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.5, overlap: float = 0.8, part_overlap: float = 0.5, **items) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
     bounded_batches(docs.sparkSession)
-    for index in indexes(benchmark, threshold, **items):
+    for index in indexes(benchmark, threshold, **items, distinct=True):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = docs.filter(_is_clean(F.col(text_col), shared, overlap, part_overlap))
     return docs

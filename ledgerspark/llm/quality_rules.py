@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.llm._common import named
+
 # Frequent function words of the four languages.
 STOP_WORDS = (
     "a an and are as at be by for from had has have he in is it its not of on or that the this to was were which with you "
@@ -139,5 +141,5 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
 def kept_rows(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns. The whole row rides along as the id: no join."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    row = docs.select(F.struct(*map(named, docs.columns)).alias("row"), F.col(text_col).alias("text"))
     return judge(row, "row", "text", rules).filter("kept").select("row.*")

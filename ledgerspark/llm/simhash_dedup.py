@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm._common import beside, bounded_batches, cut, delete_path, fresh_path, join_spread
+from ledgerspark.llm._common import beside, bounded_batches, cut, delete_path, fresh_path, join_spread, named
 
 SEED = 42
 #: Largest bucket that one task compares pair by pair; larger ones go by midpoints.
@@ -232,10 +232,12 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     heads = _with_least(placed, ["fp", "root", "least"], rank, "top").filter(rank == F.col("top")).select("fp", "root")
     heads = heads.join(heads.groupBy("root").agg(F.count("*").alias("heads")), "root")
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    ranked = docs.select(print_of(F.col(text_col).cast("binary")).alias("fp"), F.struct(order.alias("by"), row.alias("row")).alias("it"))
-    firsts = ranked.groupBy("fp").agg(F.min("it").alias("it")).join(heads, "fp")
+    row = F.struct(*map(named, docs.columns))
+    # Further columns decide among equal ids and texts; as text, since maps have no order.
+    rest = F.struct(*[named(c) for c in docs.columns if c != text_col]).cast("string")
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
+    ranked = docs.select(print_of(F.col(text_col).cast("binary")).alias("fp"), order.alias("by"), row.alias("row"))
+    firsts = ranked.groupBy("fp").agg(F.min("by").alias("by"), F.min_by("row", "by").alias("row")).join(heads, "fp")
     # Several fingerprints share the smallest id only where it is null or repeated.
-    several = firsts.filter("heads > 1").groupBy("root").agg(F.min("it").alias("it"))
-    return firsts.filter("heads = 1").select("it").unionByName(several.select("it")).select("it.row.*")
+    several = firsts.filter("heads > 1").groupBy("root").agg(F.min_by("row", "by").alias("row"))
+    return firsts.filter("heads = 1").select("row").unionByName(several.select("row")).select("row.*")

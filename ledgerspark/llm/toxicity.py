@@ -31,8 +31,9 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.llm._common import beside
 
@@ -219,9 +220,10 @@ def held_out(id_col: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, most_rows: int, most_bytes: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list, list]:
-    """Whole texts and labels of labelled rows that are not held out, in the order of a hash of their ids.
+    """Whole texts and labels of labelled ids that are not held out, in the order of a hash of the ids.
 
-    As many as there are, at most ``most_rows`` rows and ``most_bytes`` of text.
+    One text for each id, that with the least digest; at most ``most_rows`` ids are looked at, and a text that doesn't fit into
+    what is left of ``most_bytes`` is passed over. Raises if there are labelled texts and none fits.
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("id is not null and label is not null")
     marked = marked.filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
@@ -229,10 +231,23 @@ def sample(docs: DataFrame, labels: DataFrame, most_rows: int, most_bytes: int,
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     # The chosen ids are bounded by most_rows: safe to broadcast, to sort in one task and to collect at any input size.
     chosen = F.broadcast(marked.orderBy(*order).limit(most_rows))
-    sizes = texts.join(chosen, "id").select("id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).groupBy("id", "label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    fits = sizes.withColumns({"rows": F.sum("n").over(before), "bytes": F.sum("size").over(before)}).filter((F.col("rows") <= most_rows) & (F.col("bytes") <= most_bytes))
-    rows = texts.join(F.broadcast(fits.select("id", "label")), "id").toArrow()
+    body = F.coalesce("text", F.lit(""))
+    sizes = texts.join(chosen, "id").groupBy("id", "label").agg(F.min(F.struct(F.md5(body).alias("digest"), F.octet_length(body).cast("long").alias("size"))).alias("own"))
+    fits, room = [], most_bytes
+    for r in sizes.orderBy(*order).select("id", "label", "own.*").collect():
+        if r["size"] <= room:
+            fits.append((r["id"], r["label"], r["digest"]))
+            room -= r["size"]
+        else:
+            fits.append(None)
+    taken = [x for x in fits if x]
+    if fits and not taken:
+        raise ValueError(f"no labelled text has at most {most_bytes} bytes")
+    if not taken:
+        return [], []
+    wanted = docs.sparkSession.createDataFrame(taken, T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("label", labels.schema[label_col].dataType), T.StructField("digest", T.StringType())]))
+    own = texts.withColumn("digest", F.md5(body)).join(F.broadcast(wanted), ["id", "digest"])
+    rows = own.groupBy("id", "label").agg(F.first("text").alias("text")).toArrow()
     keyed = sorted(zip(rows.column("id").to_pylist(), rows.column("text").to_pylist(), rows.column("label").to_pylist(), strict=True), key=lambda r: (hashlib.md5(str(r[0]).encode()).digest(), r[1] or ""))
     return [r[1] for r in keyed], [int(r[2] > 0) for r in keyed]
 
