@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from decimal import Decimal, getcontext
 
 import pandas as pd
@@ -10,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.ranges import PART, by_ranges, last_known, running
+from ledgerspark.functions.scan import scanned
+from ledgerspark.functions.shared import checkpointed
 
 
 def trade_pnl(tokens: DataFrame, quotes: DataFrame, least: Column | None = None) -> DataFrame:
@@ -128,16 +129,26 @@ def pool_fee(volume: Column, fee_ppm: int) -> Column:
 
 
 def fee_shares(swaps: DataFrame, positions: DataFrame, fee_ppm: int) -> DataFrame:
-    """(owner, fee): each swap's fee shared by the liquidity in range at its tick.
+    """(owner, fee): each swap's fee shared by the liquidity in range at its tick; owners with no fee in range are left out.
 
     ``swaps``: (swap, tick, volume); ``positions``: (owner, lower, upper, liquidity), in range if lower <= tick < upper.
-    Liquidity is summed up for each tick that swaps touch, so positions meet ticks and not swaps.
+    No position meets a tick: liquidity in range is a running sum of what begins and ends along the ticks, the fee of a unit of
+    liquidity another, and a position gets the difference of the latter at its two ends.
     """
-    ticks = swaps.groupBy("tick").agg(F.sum(pool_fee(F.col("volume"), fee_ppm)).alias("fee"))
-    inside = ticks.join(positions, (F.col("lower") <= F.col("tick")) & (F.col("tick") < F.col("upper")))
-    depth = inside.groupBy("tick").agg(F.sum("liquidity").alias("_all"))
-    share = F.col("fee").cast("double") * F.col("liquidity").cast("double") / F.col("_all").cast("double")
-    return inside.join(depth, "tick").groupBy("owner").agg(F.sum(share).alias("fee"))
+    fees = swaps.groupBy(F.col("tick").alias("at")).agg(F.sum(pool_fee(F.col("volume"), fee_ppm)).alias("fee"), F.lit(1).alias("touched"))
+    real = positions.filter("lower < upper")
+    liquid = F.col("liquidity").cast("decimal(38,0)")
+    ends = real.select(F.inline(F.array(F.struct(F.col("lower").alias("at"), liquid.alias("moved")), F.struct(F.col("upper").alias("at"), (-liquid).alias("moved")))))
+    steps = ends.groupBy("at").agg(F.sum("moved").cast("decimal(38,0)").alias("moved")).join(fees, "at", "full").fillna(0, ["moved", "fee", "touched"])
+    deep = running(by_ranges(steps, "at"), ["at"], F.col("moved"), "depth")
+    paid = (F.col("touched") > 0) & (F.col("depth") > 0)
+    grown = running(running(deep, ["at"], F.when(paid, F.col("fee").cast("double") / F.col("depth").cast("double")).otherwise(0.0), "growth"), ["at"], paid.cast("long"), "ticks")
+    # What lies before a tick: the sums up to it without its own.
+    grown = checkpointed(grown.select("at", (F.col("growth") - F.when(paid, F.col("fee").cast("double") / F.col("depth").cast("double")).otherwise(0.0)).alias("growth"), (F.col("ticks") - paid.cast("long")).alias("ticks")))
+    for end in ("lower", "upper"):
+        real = real.join(grown.select(F.col("at").alias(end), F.col("growth").alias(f"g_{end}"), F.col("ticks").alias(f"n_{end}")), end)
+    gained = F.col("liquidity").cast("double") * (F.col("g_upper") - F.col("g_lower"))
+    return real.filter("n_upper > n_lower").groupBy("owner").agg(F.sum(gained).alias("fee"))
 
 
 def net_buy_cost(trades: DataFrame) -> DataFrame:
@@ -153,30 +164,21 @@ def net_buy_cost(trades: DataFrame) -> DataFrame:
 def tainted(moves: DataFrame) -> DataFrame:
     """(addr, injected, passed, retained): proportional taint of accounts, each on its own. ``moves``: (addr, ts, seq, amount, taint).
 
-    ``amount``: signed; ``taint``: what of an incoming amount is tainted. An outgoing amount takes its
-    share of the account's taint. An account's moves are streamed in order by one task, which holds three numbers.
+    ``amount``: signed; ``taint``: what of an incoming amount is tainted. An outgoing amount takes its share of the account's
+    taint; what goes out beyond the holding counts as all of it. Two scans: a holding after a move is the larger of a
+    bound and a sum; with the holdings known, the taint after a move is a multiple of that before and what came in.
     """
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        addr, held, taint, put, gone = None, 0.0, 0.0, 0.0, 0.0
-        for batch in batches:
-            out = []
-            for a, amount, bad in zip(batch["addr"], batch["amount"], batch["taint"], strict=True):
-                if a != addr:
-                    if addr is not None:
-                        out.append((addr, put, gone, taint))
-                    addr, held, taint, put, gone = a, 0.0, 0.0, 0.0, 0.0
-                if amount > 0:
-                    held, taint, put = held + amount, taint + bad, put + bad
-                elif held > 0:
-                    part = min(taint, -amount * taint / held)
-                    held, taint, gone = max(0.0, held + amount), taint - part, gone + part
-            yield pd.DataFrame(out, columns=["addr", "injected", "passed", "retained"])
-        if addr is not None:
-            yield pd.DataFrame([(addr, put, gone, taint)], columns=["addr", "injected", "passed", "retained"])
-
-    ordered = moves.repartition("addr").sortWithinPartitions("addr", "ts", "seq").select("addr", F.col("amount").cast("double").alias("amount"), F.col("taint").cast("double").alias("taint"))
-    return ordered.mapInPandas(work, "addr string, injected double, passed double, retained double")
+    rows = by_ranges(moves.select("addr", "ts", "seq", F.col("amount").cast("double").alias("amount"), F.col("taint").cast("double").alias("taint")), "addr", "ts", "seq")
+    order = ["ts", "seq"]
+    # (s, c): h becomes max(c, h + s).
+    held = scanned(rows, "addr", order, ["amount"], lambda x: (x, 0.0), lambda f, g: (f[0] + g[0], max(g[1], f[1] + g[0])), lambda f, h: max(f[1], h + f[0]), "_was", "_is")
+    left = F.when(F.col("amount") > 0, 1.0).when(F.col("_was") > 0, F.col("_is") / F.col("_was")).otherwise(1.0)
+    put = F.when(F.col("amount") > 0, F.col("taint")).otherwise(0.0)
+    # (r, b): t becomes r t + b.
+    marked = checkpointed(held.withColumns({"_left": left, "_put": put}))
+    found = scanned(marked, "addr", order, ["_left", "_put"], lambda r, b: (r, b), lambda f, g: (f[0] * g[0], g[0] * f[1] + g[1]), lambda f, t: f[0] * t + f[1], "_before", "_after")
+    out = found.groupBy("addr").agg(F.sum("_put").alias("injected"), F.sum(F.col("_before") * (1 - F.col("_left"))).alias("passed"), F.max_by("_after", F.struct(*order)).alias("retained"))
+    return out.select("addr", "injected", "passed", "retained")
 
 
 def exit_depth(held: Column, price: Column, pool_tokens: Column, pool_quote: Column) -> dict[str, Column]:

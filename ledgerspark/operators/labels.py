@@ -14,12 +14,26 @@ from pyspark.sql import functions as F
 from ledgerspark.functions.ranges import ranked
 
 # Vocabularies of the label tables.
+EXCHANGES = """bitget deribit bilaxy coinbase kraken bybit binance okex okx mexc gate-io gate kucoin htx huobi bitfinex crypto-com gemini bitstamp upbit
+bithumb poloniex bittrex hotbit exchange bitmex phemex bingx lbank xt-com whitebit latoken probit coinex ascendex bitmart pionex weex coinw hashkey
+backpack nexo celsius-network voyager blockfi genesis-trading wazirx bitrue tokenize coindcx bitso luno paribu btcturk bitpanda swissborg
+coincheck bitflyer liquid zaif korbit coinone gopax indodax bitkub maicoin max-exchange bitopro hoo aex zb bkex digifinex cointiger bigone fatbtc""".split()
+RISKS = "blocked ofac-sanctions-lists ofac-sanctioned tornado-cash heist gambling phish-hack exploit exploiter scam mixer ponzi plustoken lazarus-group sanctioned".split()
+BRIDGES = """bridge multichain wormhole layer-2 arbitrum optimism zksync starknet scroll linea celer synapse hop-protocol across stargate layerzero axelar orbiter
+polygon avalanche-bridge ronin harmony anyswap portal debridge base-bridge rainbow-bridge gravity-bridge omni allbridge symbiosis router-protocol squid""".split()
 MEV = "mev-bot mev-builder sandwich-bot arbitrage-bot flashbots".split()
 INFRA = "erc-4337-bundler pimlico paymaster multicall authereum safe-formerly-gnosis-safe account-abstraction gsn relayer gas-station biconomy disperse multisender".split()
 TOKEN = "token-contract bridged-token stablecoin wrapped-token".split()
+PROTOCOLS = """sushiswap balancer bancor pancakeswap burgerswap bscswap kyberswap 1inch 0x-protocol dydx morpho euler liquity olympusdao tokemak set-protocol mstable
+aave compound lido maker sky synthetix yearn pendle chainlink the-graph curve-finance curve-fi uniswap dex defi vaults staking proxy-contract
+old-contract deprecated v1 v2 v3 website-down eigenlayer symbiotic mellow zapper-fi juicebox ondo-finance paraswap cow-protocol metamask rainbow xstocks
+real-world-assets yield-farming lending derivatives options insurance oracle ens nft-marketplace opensea blur looksrare x2y2 seaport wyvern""".split()
+IDENTITIES = """genesis-address ico-wallets token-sale mining airdrop-hunter sybil-delegate buidlguidl-builders protocol-guild-member endaoment nonprofit charity donate
+gitcoin-grants fund maker-vault-owner balancer-vested-shareholders multisig-owner avs-operator contract-deployer proposer-fee-recipient eth2-depositor whale
+market-maker otc vc dao-treasury team-wallet advisor influencer""".split()
 PROTOCOL_SUFFIXES = "-finance -protocol -swap -dao -fi -network -exchange-contract -vault -pool -router -capital -labs -money -markets -lending".split()
 DROPPED = ["take-action", "friend-tech-users", "null", ""]
-DEFINITIVE = "ofac-sdn ofac-sanctions-lists ofac-sanctioned sanctioned gambling mixer ponzi lazarus-group plustoken tornado-cash serial-offender".split()
+DEFINITIVE = "ofac-sdn ofac-sanctions-lists ofac-sanctioned sanctioned heist exploit exploiter phish-hack scam blocked gambling mixer ponzi lazarus-group plustoken tornado-cash serial-offender".split()
 CANDIDATE = ["scam-candidate", "risk-candidate"]
 PRIVACY = ["tornado-user"]
 NO_MERGE = ["locker", "airdrop-distributor", "token-sale", "charity", "launchpad", "suspected-cex"]
@@ -45,9 +59,11 @@ def label_class(raw: Column, known: dict[str, tuple[str, str]] | None = None) ->
     out = F.when(label.isin(DROPPED), None)
     for name, (category, tier) in (known or {}).items():
         out = out.when(label == name, pair(category, tier))
-    out = out.when(label.isin(DEFINITIVE) | label.endswith("-exploit") | label.endswith("-hack"), pair(label, "risk"))
-    for labels, category in ((MEV, "mev"), (INFRA, "infra"), (["burn"], "burn"), (TOKEN, "token-contract")):
+    out = out.when(label.isin(EXCHANGES), pair("cex", "exclude"))
+    out = out.when(label.isin(RISKS) | label.endswith("-exploit") | label.endswith("-hack"), pair(label, "risk"))
+    for labels, category in ((BRIDGES, "bridge"), (MEV, "mev"), (INFRA, "infra"), (["burn"], "burn"), (TOKEN, "token-contract"), (PROTOCOLS, "protocol")):
         out = out.when(label.isin(labels), pair(category, "exclude"))
+    out = out.when(label.isin(IDENTITIES), pair(label, "identity"))
     out = out.when(label.contains("exchange"), pair("cex", "exclude")).when(label.contains("bridge"), pair("bridge", "exclude"))
     suffix = reduce(lambda a, b: a | b, [label.endswith(s) for s in PROTOCOL_SUFFIXES])
     return out.when(suffix, pair("protocol", "exclude")).otherwise(pair(label, "identity"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerspark.functions.prefix import prefix_sums
+from ledgerspark.functions.shared import checkpointed
 from ledgerspark.sources.adapters import SINKS, ZERO
 
 
@@ -62,14 +63,18 @@ def first_last(transfers: DataFrame) -> DataFrame:
 def block_peaks(transfers: DataFrame, share: int = 1000) -> DataFrame:
     """(addr, peak, peak_block): highest end-of-block balance and the first block that reaches it.
 
-    Kept if positive and at least ``mint // share``. A balance can't exceed the sum of the
-    positive block nets, so accounts whose sum is below the bound never reach the window.
+    Kept if positive and at least ``mint // share``. The ledger is read once, for one row an account and block, of which two bounds
+    choose accounts before anything is ordered: a balance can't exceed what came in, nor the sum of the positive nets of blocks.
     """
-    least = transfers.agg((minted() / share).alias("least")).select(F.floor("least").alias("least"))
-    nets = deltas(transfers, "block").groupBy("addr", "block").agg(F.sum("x").alias("net"))
-    bound = nets.groupBy("addr").agg(F.sum(F.greatest("net", F.lit(0))).alias("bound"))
-    able = bound.join(F.broadcast(least), F.col("bound") >= F.col("least")).select("addr", "least")
-    running = prefix_sums(nets.join(able, "addr"), "addr", "block", "net", "held")
+    mint = F.when(F.col("frm") == ZERO, F.col("v")).otherwise(0)
+    legs = F.array(F.struct(F.col("dst").alias("addr"), F.col("v").alias("x"), mint.alias("m")), F.struct(F.col("frm").alias("addr"), (-F.col("v")).alias("x"), (mint * 0).alias("m")))
+    legs = F.when(F.col("frm") == ZERO, F.slice(legs, 1, 1)).otherwise(legs)
+    nets = transfers.select("block", F.inline(legs)).groupBy("addr", "block").agg(F.sum("x").alias("net"), F.sum(F.greatest("x", F.lit(0))).alias("_in"), F.sum("m").alias("_mint"))
+    nets = checkpointed(nets)
+    least = nets.agg(F.floor(F.sum("_mint") / share).alias("least"))
+    bounds = nets.groupBy("addr").agg(F.sum("_in").alias("_all"), F.sum(F.greatest("net", F.lit(0))).alias("_up"))
+    able = bounds.join(F.broadcast(least), (F.col("_all") >= F.col("least")) & (F.col("_up") >= F.col("least"))).select("addr", "least")
+    running = prefix_sums(nets.select("addr", "block", "net").join(able, "addr"), "addr", "block", "net", "held")
     best = running.groupBy("addr").agg(F.max("held").alias("peak"), F.max_by("block", F.struct("held", -F.col("block"))).alias("peak_block"), F.first("least").alias("least"))
     return best.filter("peak > 0 and peak >= least").drop("least")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerspark.functions.ranges import PART, by_ranges, last_known, running
+from ledgerspark.operators.setjoin import similar_sets
 from ledgerspark.sources.adapters import SINKS
 
 
@@ -41,19 +42,16 @@ def first_movers(actions: DataFrame, batch: str, member: str, least: int = 2) ->
 
 
 def token_pairs(holdings: DataFrame, support: int = 3, jaccard_pct: int = 50) -> DataFrame:
-    """(a, b, common, either): members that share at least ``support`` items and enough of all that either has. ``holdings``: (member, item).
+    """(a, b, common, either): members that share at least ``support`` items and enough of all that either has. ``holdings``: (member, item). Members meet through their rare items."""
+    found = similar_sets(holdings.select(F.col("member").alias("set"), "item"), least=support, jaccard_pct=jaccard_pct)
+    return found.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("either"))
 
-    Only pairs with an item in common meet; an item of one member alone, and members of too few items, are left out first.
-    """
-    rows = holdings.select("member", "item").distinct()
-    sizes = rows.groupBy("member").agg(F.count("*").alias("n")).filter(F.col("n") >= support)
-    shared = rows.groupBy("item").agg(F.count("*").alias("m")).filter("m > 1").select("item")
-    able = rows.join(sizes, "member").join(shared, "item", "left_semi")
-    a = able.select("item", F.col("member").alias("a"), F.col("n").alias("na"))
-    b = able.select("item", F.col("member").alias("b"), F.col("n").alias("nb"))
-    both = a.join(b, "item").filter("a < b").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-    out = both.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("either"))
-    return out.filter((F.col("common") >= support) & (F.col("common") * 100 >= F.col("either") * jaccard_pct))
+
+def token_groups(pairs: DataFrame) -> DataFrame:
+    """(addr, root): members joined through all ``pairs`` (a, b)."""
+    from ledgerspark.operators.graph import components
+
+    return components(pairs.select(F.col("a").alias("frm"), F.col("b").alias("dst")))
 
 
 def co_timed_pairs(pairs: DataFrame, firsts: DataFrame, width: int = 6 * 3600, least: int = 1) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.joins import interval_join
 from ledgerspark.functions.ranges import by_ranges, running
+from ledgerspark.functions.shared import checkpointed
 from ledgerspark.operators import ledger
 from ledgerspark.sources.adapters import SINKS, ZERO
 
@@ -21,10 +23,11 @@ def run_ranges(rows: DataFrame, run: str, block: str = "block") -> DataFrame:
 
 
 def overlaps(ranges: DataFrame, run: str) -> DataFrame:
-    """(a, b, lo, hi): blocks that two runs share. Few runs, one row each."""
-    a = ranges.select(F.col(run).alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
-    b = ranges.select(F.col(run).alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
-    return a.join(b, (F.col("a") < F.col("b")) & (F.greatest("alo", "blo") <= F.least("ahi", "bhi"))).select("a", "b", F.greatest("alo", "blo").alias("lo"), F.least("ahi", "bhi").alias("hi"))
+    """(a, b, lo, hi): blocks that two runs share. Of two ranges that meet, one begins within the other."""
+    own = ranges.select(F.col(run).alias("_in"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    met = interval_join(ranges.select(F.col(run).alias("_run"), "lo", "hi"), "lo", own, "_lo", "_hi").filter("_run <> _in")
+    first = F.col("_run") < F.col("_in")
+    return met.select(F.when(first, F.col("_run")).otherwise(F.col("_in")).alias("a"), F.when(first, F.col("_in")).otherwise(F.col("_run")).alias("b"), "lo", F.least("hi", "_hi").alias("hi")).distinct()
 
 
 def merged_ranges(ranges: DataFrame) -> DataFrame:
@@ -40,11 +43,10 @@ def merged_ranges(ranges: DataFrame) -> DataFrame:
 
 def overlap_dedup(rows: DataFrame, run: str, key: list[str], block: str = "block") -> DataFrame:
     """One row for each key; only rows of blocks that several runs cover are grouped, all others pass as they are."""
-    ranges = merged_ranges(overlaps(run_ranges(rows, run, block), run))
-    # Broadcast: at most one range for each pair of runs.
-    marked = rows.join(F.broadcast(ranges), (F.col(block) >= F.col("lo")) & (F.col(block) <= F.col("hi")), "left")
-    twice = marked.filter("lo is not null").select(*rows.columns)
-    return marked.filter("lo is null").select(*rows.columns).unionByName(ledger.deduplicated(twice, key))
+    ranges = merged_ranges(overlaps(run_ranges(rows, run, block), run)).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+    # One row for each covered block; Spark broadcasts it if that is small.
+    covered = checkpointed(interval_join(rows.select(block).distinct(), block, ranges, "_lo", "_hi").select(block))
+    return rows.join(covered, block, "left_anti").select(*rows.columns).unionByName(ledger.deduplicated(rows.join(covered, block, "left_semi").select(*rows.columns), key))
 
 
 def transaction_digests(rows: DataFrame, source: str, tx: list[str], content: list[str]) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerspark.functions.ranges import PART, by_ranges, last_known, ranked, running
+from ledgerspark.functions.shared import Scratch, checkpointed
+from ledgerspark.operators.setjoin import similar_sets
 
 
 def sessions(rows: DataFrame, key: str, gap: int) -> DataFrame:
@@ -30,22 +32,17 @@ def first_actions(batches: DataFrame, batch: list[str], member: str) -> DataFram
 
 
 def order_matches(actions: DataFrame, batch: str, member: str, least: int = 4) -> DataFrame:
-    """(a, b, common, forward, reverse): batches that share members, and places that agree or mirror among the common ones.
+    """(a, b, common, forward, reverse): batches that share at least ``least`` members, and places that agree or mirror among the common ones.
 
-    ``actions``: (batch, member, rank). Only batches with enough members that occur more than
-    once can match, and only those with a member in common meet.
+    ``actions``: (batch, member, rank), a member once in a batch. Batches meet through their rare members (``similar_sets``).
     """
-    often = actions.groupBy(member).agg(F.count("*").alias("_n")).filter("_n > 1").select(member)
-    shared = actions.join(often, member, "left_semi")
-    able = shared.groupBy(batch).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least).select(batch)
-    shared = shared.join(able, batch, "left_semi")
-    a = shared.select(F.col(batch).alias("a"), F.col(member).alias("m"), F.col("rank").alias("ra"))
-    b = shared.select(F.col(batch).alias("b"), F.col(member).alias("m"), F.col("rank").alias("rb"))
-    pairs = a.join(b, "m").filter("a < b")
+    rows = checkpointed(actions.select(batch, member, "rank"))
+    pairs = similar_sets(rows.select(F.col(batch).alias("set"), F.col(member).alias("item")), least=least).select("a", "b", "common")
+    own = lambda name, rank: rows.select(F.col(batch).alias(name), F.col(member).alias("m"), F.col("rank").alias(rank))
+    met = pairs.join(own("a", "ra"), "a").join(own("b", "rb"), ["b", "m"])
     # A pair of batches is one group: as many rows as the smaller of the two has members.
     both = Window.partitionBy("a", "b")
-    placed = pairs.withColumns({"common": F.count("*").over(both), "pa": F.row_number().over(both.orderBy("ra")), "pb": F.row_number().over(both.orderBy("rb"))})
-    placed = placed.filter(F.col("common") >= least)
+    placed = met.withColumns({"pa": F.row_number().over(both.orderBy("ra")), "pb": F.row_number().over(both.orderBy("rb"))})
     return placed.groupBy("a", "b").agg(F.first("common").alias("common"), F.count_if(F.col("pa") == F.col("pb")).alias("forward"), F.count_if(F.col("pb") == F.col("common") + 1 - F.col("pa")).alias("reverse"))
 
 
@@ -93,19 +90,38 @@ def co_timed(rows: DataFrame, member: str, *moment: str, least: int = 5) -> Data
     return per.groupBy(*moment).agg(F.count("*").alias("members"), F.sum("n").alias("n"), F.sum("v").alias("total")).filter(F.col("members") >= least)
 
 
-def merged_candidates(batches: list[frozenset[str]], least: int = 3) -> list[frozenset[str]]:
-    """Candidate groups, each joined to the first earlier one that shares max(least, half of its members); the order decides.
+def merged_candidates(candidates: DataFrame, order: str, member: str, least: int = 3) -> DataFrame:
+    """(order, group): candidate groups, each joined to the first earlier one that shares max(least, half of its members); a group is named by its first candidate.
 
-    For the few candidates that a match has left, on the driver.
+    ``candidates``: (order, member), with ``order`` one number a candidate; the order decides. Rounds settle many candidates at once.
+    What a candidate joins depends only on earlier ones that have a member of its own, so one settles when all of those have.
+    And one that shares enough with the first group of its component settles at once, as no group can come before that; only
+    members count that candidates before it have brought. Rounds are thus as many as the longest chain of candidates outside those first groups.
     """
-    out: list[frozenset[str]] = []
-    for members in batches:
-        k = next((k for k, other in enumerate(out) if len(members & other) >= max(least, len(members) // 2)), None)
-        if k is None:
-            out.append(members)
-        else:
-            out[k] |= members
-    return out
+    from ledgerspark.operators.graph import components
+
+    scratch = Scratch(candidates.sparkSession)
+    rows = scratch.put(candidates.select(F.col(order).cast("long").alias("c"), F.col(member).alias("m")).distinct())
+    top = components(rows.join(rows.groupBy("m").agg(F.min("c").alias("f")), "m").select(F.col("f").alias("frm"), F.col("c").alias("dst")))
+    sizes = rows.groupBy("c").agg(F.greatest(F.lit(least), F.floor(F.count("*") / 2)).alias("need")).join(top.select(F.col("addr").alias("c"), "root"), "c", "left")
+    sizes = scratch.put(sizes.select("c", "need", F.coalesce("root", "c").alias("root")))
+    still, done, held = rows, [], rows.select(F.col("c").alias("g"), "m", F.col("c").alias("by")).limit(0)
+    while not still.isEmpty():
+        first = still.groupBy("m").agg(F.min("c").alias("f"))
+        waits = still.join(first, "m").groupBy("c").agg(F.bool_or(F.col("f") < F.col("c")).alias("waits"))
+        share = still.join(held, "m").filter("by < c").groupBy("c", "g").agg(F.count("*").alias("k")).join(sizes, "c").filter("k >= need")
+        best = waits.join(share.groupBy("c").agg(F.min("g").alias("g")), "c", "left").join(sizes.select("c", "root"), "c")
+        into = scratch.put(best.filter("not waits or g = root").select("c", F.coalesce("g", "c").alias("g")))
+        done.append(into)
+        brought = still.join(into, "c").select("g", "m", F.col("c").alias("by"))
+        held = scratch.put(held.unionByName(brought).groupBy("g", "m").agg(F.min("by").alias("by")))
+        still = scratch.put(still.join(into.select("c"), "c", "left_anti"))
+    every = rows.select("c", F.col("c").alias("g")).limit(0)
+    for into in done:
+        every = every.unionByName(into)
+    result = checkpointed(every.select(F.col("c").alias(order), F.col("g").alias("group")))
+    scratch.clear()
+    return result
 
 
 def hit_windows(tested: DataFrame, p: float = 0.002, rho: float = 0.75) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.joins import interval_join
 from ledgerspark.operators import cost, graph, ledger, methods, sequence
 from ledgerspark.plans.registry import longs, register
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, camps, event_flow, exchanges, table, trade_ledger
@@ -213,6 +214,26 @@ def token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methods.token_pairs(_holdings(spark, sf_dir), 3, 40)
 
 
+@register("SELECT a AS addr, min(b) AS root FROM tr GROUP BY a", "RECURSIVE " + FLOW_SQL.strip(), TOKEN_SQL, "tb AS (SELECT a, b FROM pr UNION SELECT b, a FROM pr), tr(a, b) AS (SELECT a, a FROM tb UNION SELECT tr.a, tb.b FROM tr JOIN tb ON tr.b = tb.a)")
+def token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Senders joined through all pairs with alike tokens."""
+    return methods.token_groups(methods.token_pairs(_holdings(spark, sf_dir), 3, 40))
+
+
+TICKS_SQL = "tk AS (SELECT seq, v % 5000 AS tick FROM e), ps AS (SELECT c_custkey AS owner, c_custkey * 37 % 5000 AS lower, c_custkey * 37 % 5000 + CASE c_custkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 9 WHEN 2 THEN 170 ELSE 3000 END AS upper FROM customer)"
+
+
+@register("SELECT owner, count(*) AS swaps, CAST(sum(tick) AS BIGINT) AS ticks FROM tk JOIN ps ON tick BETWEEN lower AND upper GROUP BY owner", FLOW_SQL, TICKS_SQL)
+def swaps_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Swaps within the price range of each position; ranges of one tick up to most of the scale."""
+    swaps = event_flow(spark, sf_dir).select("seq", (F.col("v") % 5000).alias("tick"))
+    key = F.col("c_custkey").cast("long")
+    lower = key * 37 % 5000
+    width = F.when(key % 4 == 0, 0).when(key % 4 == 1, 9).when(key % 4 == 2, 170).otherwise(3000)
+    positions = table(spark, sf_dir, "customer").select(key.alias("owner"), lower.alias("lower"), (lower + width).alias("upper"))
+    return interval_join(swaps, "tick", positions, "lower", "upper").groupBy("owner").agg(F.count("*").alias("swaps"), F.sum("tick").alias("ticks"))
+
+
 @register("SELECT pr.a, pr.b, count(*) AS timed FROM pr JOIN ho x ON x.member = pr.a JOIN ho y ON y.member = pr.b AND y.item = x.item WHERE abs(x.ts - y.ts) <= 172800 GROUP BY pr.a, pr.b", FLOW_SQL, TOKEN_SQL)
 def token_pairs_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of these, the tokens that both first touched within two days."""

@@ -9,11 +9,13 @@ from ledgerspark.operators import labels
 from ledgerspark.plans.registry import register
 from ledgerspark.sources.adapters import table
 
-RAW = "whale mev-bot paymaster burn stablecoin aave-finance some-exchange base-bridge filament-exploit null market-maker sanctioned".split()
+#: Every value of the fixed tables, and labels that only suffixes and parts tell.
+RAW = [*labels.EXCHANGES, *labels.RISKS, *labels.BRIDGES, *labels.MEV, *labels.INFRA, "burn", *labels.TOKEN, *labels.PROTOCOLS, *labels.IDENTITIES, *[x or "null" for x in labels.DROPPED], *labels.DEFINITIVE, *labels.CANDIDATE, *labels.PRIVACY]
+RAW += [f"some{s}" for s in labels.PROTOCOL_SUFFIXES] + "some-exchange my-bridge-two filament-exploit other-hack night-owl".split()
 CATEGORY = "cex bridge locker burn whale serial-actor scam-candidate mev".split()
 TIER = "exclude identity risk".split()
 SOURCE = "dune manual-book tokens curation jup".split()
-FLAGS = ["", "mixer", "tornado-user|mixer", "scam-candidate", "odd-flag", "mixer|gambling", "ponzi", ""]
+FLAGS = ["", "mixer", "tornado-user|mixer", "scam-candidate", "odd-flag", "mixer|gambling", "ponzi", "", "risk-candidate", "bybit-exploit", "other-hack", *labels.DEFINITIVE]
 NAME = ["Alpha", "", "Token Vesting", "Paymaster One", "unconfirmed desk", "Beta"]
 CHAIN = ["eth", "bsc", "sol"]
 
@@ -75,11 +77,14 @@ def _last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.layered(_labels(spark, sf_dir)).drop("arrival")
 
 
+_IN = lambda values: "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
 @register(
-    f"""WITH r AS (SELECT c_custkey, {_at(RAW, "c_custkey")} AS raw FROM customer)
-    SELECT raw, count(*) AS n, CASE WHEN raw LIKE '%-exploit' OR raw = 'sanctioned' THEN raw WHEN raw = 'mev-bot' THEN 'mev' WHEN raw = 'paymaster' THEN 'infra' WHEN raw = 'burn' THEN 'burn' WHEN raw = 'stablecoin' THEN 'token-contract'
-      WHEN raw LIKE '%exchange%' THEN 'cex' WHEN raw LIKE '%bridge%' THEN 'bridge' WHEN raw LIKE '%-finance' THEN 'protocol' ELSE raw END AS category,
-      CASE WHEN raw LIKE '%-exploit' OR raw = 'sanctioned' THEN 'risk' WHEN raw IN ('whale', 'market-maker') THEN 'identity' ELSE 'exclude' END AS tier FROM r WHERE raw <> 'null' GROUP BY raw"""
+    f"""WITH r AS (SELECT c_custkey, {_at(RAW, "c_custkey")} AS raw FROM customer), k AS (SELECT raw, count(*) AS n, CASE WHEN raw IN {_IN(labels.EXCHANGES)} THEN 'cex' WHEN raw IN {_IN(labels.RISKS)} OR regexp_matches(raw, '-(exploit|hack)$') THEN 'risk'
+      WHEN raw IN {_IN(labels.BRIDGES)} THEN 'bridge' WHEN raw IN {_IN(labels.MEV)} THEN 'mev' WHEN raw IN {_IN(labels.INFRA)} THEN 'infra' WHEN raw = 'burn' THEN 'burn' WHEN raw IN {_IN(labels.TOKEN)} THEN 'token-contract' WHEN raw IN {_IN(labels.PROTOCOLS)} THEN 'protocol'
+      WHEN raw IN {_IN(labels.IDENTITIES)} THEN 'own' WHEN raw LIKE '%exchange%' THEN 'cex' WHEN raw LIKE '%bridge%' THEN 'bridge' WHEN regexp_matches(raw, '({"|".join(labels.PROTOCOL_SUFFIXES)})$') THEN 'protocol' ELSE 'own' END AS c FROM r WHERE raw NOT IN {_IN(labels.DROPPED)} GROUP BY raw)
+    SELECT raw, n, CASE WHEN c IN ('own', 'risk') THEN raw ELSE c END AS category, CASE c WHEN 'own' THEN 'identity' WHEN 'risk' THEN 'risk' ELSE 'exclude' END AS tier FROM k"""
 )
 def label_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "customer").select(_pick(RAW, F.col("c_custkey")).alias("raw"))
@@ -143,7 +148,7 @@ def label_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     """SELECT chain, address, 'flags_not_canonical' AS problem FROM lb WHERE risk_flags IN ('tornado-user|mixer', 'mixer|gambling') UNION SELECT chain, address, 'burn_with_flags' FROM lb WHERE category = 'burn' AND risk_flags <> ''
     UNION SELECT chain, address, 'facility_with_behaviour' FROM lb WHERE tier = 'exclude' AND risk_flags LIKE '%tornado-user%' UNION SELECT chain, address, 'risk_without_flags' FROM lb WHERE tier = 'risk' AND risk_flags = ''
-    UNION SELECT chain, address, 'risk_without_evidence' FROM lb WHERE tier = 'risk' AND evidence = '' UNION SELECT chain, address, 'unknown_flag' FROM lb WHERE risk_flags = 'odd-flag' UNION SELECT chain, address, 'unknown_merge_policy' FROM lb WHERE merge_policy = 'never'
+    UNION SELECT chain, address, 'risk_without_evidence' FROM lb WHERE tier = 'risk' AND evidence = '' UNION SELECT chain, address, 'unknown_flag' FROM lb WHERE risk_flags IN ('odd-flag', 'other-hack') UNION SELECT chain, address, 'unknown_merge_policy' FROM lb WHERE merge_policy = 'never'
     UNION SELECT chain, address, 'serial_without_evidence' FROM lb WHERE category = 'serial-actor' AND evidence = '' UNION SELECT chain, address, 'facility_as_identity' FROM lb WHERE category IN ('cex', 'bridge') AND tier = 'identity'
     UNION SELECT chain, address, 'unconfirmed_excluded' FROM lb WHERE name LIKE 'unconfirmed%' AND tier = 'exclude' UNION SELECT chain, address, 'address_twice' FROM lb GROUP BY ALL HAVING count(*) > 1""",
     LABEL_SQL,

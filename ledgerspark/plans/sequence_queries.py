@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.ranges import ranked
+from ledgerspark.functions.shared import checkpointed
 from ledgerspark.operators import distribution, ledger, sequence
+from ledgerspark.operators.setjoin import best_matches
 from ledgerspark.plans.registry import longs, register
-from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, event_flow, trade_ledger
+from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, event_flow, table, trade_ledger
 
 GAP = 2 * 86400
 SESSION_SQL = f"""
@@ -184,3 +187,31 @@ def target_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = prefix_sums(daily, "addr", "day", "delta", "close").filter("delta < 0")
     found = sold.groupBy((F.col("close") / 1_000_000).cast("long").alias("held")).agg(F.countDistinct("addr").alias("owners"), F.countDistinct("delta").alias("amounts"))
     return found.filter("owners >= 2 and amounts >= 2")
+
+
+@register()
+def cadence_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Senders of days whose order agrees or mirrors in two places at least, as candidate groups from the best pair of days on, merged in that order; the merging has no SQL form."""
+    days = checkpointed(_days(spark, sf_dir))
+    pairs = sequence.order_matches(days, "day", "frm").withColumn("less", -F.greatest("forward", "reverse")).filter("less <= -2")
+    placed = ranked(pairs.select("less", "a", "b"), ["less", "a", "b"], "number")
+    own = lambda name: days.select(F.col("day").alias(name), "frm")
+    members = checkpointed(placed.join(own("a"), "a").join(own("b"), ["b", "frm"]).select("number", "frm"))
+    merged = sequence.merged_candidates(members, "number", "frm")
+    return members.join(merged, "number").groupBy("group").agg(F.countDistinct("number").alias("pairs"), F.countDistinct("frm").alias("members"))
+
+
+GROUPS_SQL = """
+ga AS (SELECT c_nationkey || c_mktsegment AS g, c_custkey AS m FROM customer), gb AS (SELECT CASE WHEN c_custkey % 9 = 0 OR c_nationkey = 3 AND c_custkey % 3 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END || c_mktsegment AS g, c_custkey AS m FROM customer),
+gj AS (SELECT a.g AS a, b.g AS b, count(*) AS common FROM ga a JOIN gb b USING (m) GROUP BY ALL), gk AS (SELECT gj.*, x.n + y.n - common AS either FROM gj JOIN (SELECT g, count(*) AS n FROM ga GROUP BY g) x ON x.g = a JOIN (SELECT g, count(*) AS n FROM gb GROUP BY g) y ON y.g = b)
+"""
+
+
+@register("SELECT a, arg_min(b, (-common / either, b)) AS b, arg_min(common, (-common / either, b)) AS common, arg_min(either, (-common / either, b)) AS either FROM gk WHERE common * 100 >= either * 60 GROUP BY a", GROUPS_SQL)
+def shifted_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of customers and, of the groups after some have moved, the most alike to each, by a Jaccard share of at least 0.6."""
+    rows = table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    moved = F.when((key % 9 == 0) | ((nation == 3) & (key % 3 == 0)), (nation + 1) % 25).otherwise(nation)
+    sets = lambda place: rows.select(F.concat(place.cast("string"), "c_mktsegment").alias("set"), key.alias("item"))
+    return best_matches(sets(nation), sets(moved), 60)

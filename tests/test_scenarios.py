@@ -8,7 +8,7 @@ from decimal import Decimal
 
 import pytest
 
-from ledgerspark.operators import cost, curve25519, ledger, labels, methods, provenance, reconcile, scanners, sensitivity, sequence, waves, wide
+from ledgerspark.operators import cost, curve25519, ledger, labels, methods, provenance, reconcile, scanners, waves, wide
 from ledgerspark.sources import files
 
 LEDGER = "block long, tx long, li long, frm string, dst string, v decimal(38,0)"
@@ -193,26 +193,6 @@ def test_merged_ranges_pass_over_contained_ones(spark):
     assert sorted((r["lo"], r["hi"]) for r in reconcile.merged_ranges(ranges).collect()) == [(0, 120), (121, 130), (140, 150)]
 
 
-def test_bridges_equal_brute_force():
-    rng = random.Random(4)
-    for _ in range(60):
-        edges = sorted({tuple(sorted(rng.sample("abcdefgh", 2))) for _ in range(rng.randint(3, 11))})
-
-        def side(start, without):
-            seen, todo = {start}, [start]
-            while todo:
-                x = todo.pop()
-                for e in edges:
-                    if e != without and x in e and (y := e[0] if e[1] == x else e[1]) not in seen:
-                        seen.add(y)
-                        todo.append(y)
-            return seen
-
-        want = [(u, v, len(min(side(u, (u, v)), side(v, (u, v)), key=len))) for u, v in edges if v not in side(u, (u, v))]
-        got = [(u, v, n) for u, v, w, n in sensitivity.bridge_splits(edges, dict.fromkeys("abcdefgh", 1.0)) if w == n]
-        assert got == want
-
-
 def test_upsert_folds_rows_in_the_order_of_arrival(spark):
     columns = ["name", "category", "tier", "evidence", "merge_policy", "balance_policy", "status", "risk_flags"]
     rows = [
@@ -245,8 +225,3 @@ def test_retention_chance(spark):
     rows = [(1, True)] * 5 + [(2, False)] * 5
     found = {r["window"]: (r["rate"], round(r["p"], 9)) for r in methods.retention_test(spark.createDataFrame(rows, "window int, long_holder boolean")).collect()}
     assert found == {1: (1.0, round(1 / 252, 9)), 2: (0.0, 1.0)}
-
-
-def test_candidates_merge_in_order():
-    groups = [frozenset("abcd"), frozenset("cdef"), frozenset("abcx"), frozenset("wxyz")]
-    assert sequence.merged_candidates(groups) == [frozenset("abcdx"), frozenset("cdef"), frozenset("wxyz")]
