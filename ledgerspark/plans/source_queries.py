@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.shared import checkpoint_dir
+from ledgerspark.functions.shared import checkpoint_dir, checkpointed
 from ledgerspark.operators import ledger, wide
 from ledgerspark.plans.registry import longs, register
-from ledgerspark.sources import files
+from ledgerspark.sources import files, stores
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, event_flow, table, trade_ledger
 
 
@@ -132,3 +132,47 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices whose times are seconds or milliseconds and some of which are no numbers."""
     rows = event_flow(spark, sf_dir).select(F.when(F.col("seq") % 2 == 0, F.col("ts") * 1000).otherwise(F.col("ts")).cast("string").alias("t"), F.when(F.col("seq") % 10 == 0, "n/a").otherwise(F.col("v").cast("string")).alias("p"))
     return files.read_prices(rows, "t", "p")
+
+
+DIGEST_SQL = """
+n0 AS (SELECT row_number() OVER (ORDER BY k1, k2, k3) - 1 AS k, sha256(line) AS h FROM ln), n1 AS (SELECT k // 1024 AS k, sha256(string_agg(h, '' ORDER BY k)) AS h FROM n0 GROUP BY k // 1024),
+n2 AS (SELECT k // 1024 AS k, sha256(string_agg(h, '' ORDER BY k)) AS h FROM n1 GROUP BY k // 1024), nt AS (SELECT count(*) AS n FROM n0)
+"""
+DIGEST_OUT = "SELECT n AS rows, sha256(n || ':' || CASE WHEN n <= 1024 THEN (SELECT max(h) FROM n1) ELSE (SELECT max(h) FROM n2) END) AS digest FROM nt"
+
+
+@register(DIGEST_OUT, TRADE_SQL, "ln AS (SELECT block AS k1, tx AS k2, li AS k3, '{\"block\":' || block || ',\"tx\":\"' || tx || '\",\"v\":\"' || v || '\"}' AS line FROM t)", DIGEST_SQL)
+def ledger_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as sorted files of JSON lines, and the tree digest of the files in their order."""
+    path = _path(spark, "ledger-lines")
+    line = stores.canonical_json(("block", F.col("block")), ("tx", F.col("tx").cast("string")), ("v", F.col("v").cast("string")))
+    stores.write_lines(trade_ledger(spark, sf_dir), ["block", "tx", "li"], line, path)
+    return stores.file_digest(spark, path)
+
+
+@register(
+    DIGEST_OUT,
+    TRADE_SQL,
+    "ln AS (SELECT 'b' AS k1, addr AS k2, 0 AS k3, '{\"addr\":\"' || addr || '\",\"balance\":\"' || bal || '\"}' AS line FROM bal WHERE bal <> 0 UNION ALL SELECT 'm', dst, 0, '{\"addr\":\"' || dst || '\",\"minted\":\"' || CAST(sum(v) AS BIGINT) || '\"}' FROM t WHERE frm = 'ZERO' GROUP BY dst)",
+    DIGEST_SQL,
+)
+def ledger_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical JSON documents of a replay, and the digest of final balances and mints together, as read back."""
+    rows, path = checkpointed(trade_ledger(spark, sf_dir)), _path(spark, "ledger-documents")
+    stores.write_ledger_documents(ledger.balances(rows), ledger.block_peaks(rows), ledger.first_last(rows), ledger.mint_ledger(rows), path)
+    both = stores.read_lines(spark, f"{path}/balances_final").withColumn("part", F.lit("b")).unionByName(stores.read_lines(spark, f"{path}/mint_ledger").withColumn("part", F.lit("m")))
+    return stores.tree_digest(both, ["part", "file", "start", "place"], "line")
+
+
+@register("SELECT CAST(2 AS BIGINT) AS version, count(*) AS blocks, CAST(sum(ts) AS BIGINT) AS total FROM (SELECT o_custkey AS block, CASE WHEN max(o_orderkey) FILTER (o_orderkey % 3 = 0) IS NOT NULL THEN max(o_orderkey) FILTER (o_orderkey % 3 = 0) ELSE max(o_orderkey) END AS ts FROM orders GROUP BY o_custkey)")
+def anchor_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of anchors after two versions, of which the second replaces times of the first; a writer that builds on the first again is turned away."""
+    store = stores.AnchorStore(spark, _path(spark, "anchors"))
+    pairs = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("block"), F.col("o_orderkey").alias("ts"))
+    first = store.add(pairs, 0)
+    store.add(pairs.filter("ts % 3 = 0"), first)
+    try:
+        store.add(pairs.filter("ts % 2 = 0"), first)
+    except stores.StaleWriter:
+        return store.load().agg(F.lit(store.version()).cast("long").alias("version"), F.count("*").alias("blocks"), F.sum("ts").alias("total"))
+    raise AssertionError("a stale writer was not turned away")

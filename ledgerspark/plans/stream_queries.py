@@ -80,3 +80,16 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, out = _stream(spark, sf_dir)
     jobs.run(jobs.alerts(stream.select(F.col("frm").alias("addr"), "ts", "seq", "v"), 8000, 86400), out)
     return jobs.written(spark, out).select("addr", F.col("at").alias("day"))
+
+
+@register(
+    """WITH z AS (SELECT CAST(sum(v) AS BIGINT) AS net, max(ts) AS last FROM e), h AS (SELECT frm AS addr, ts // 86400 AS day, sum(v) AS total FROM e GROUP BY ALL), w AS (SELECT *, lag(total) OVER (PARTITION BY addr ORDER BY day) AS before, lag(day) OVER (PARTITION BY addr ORDER BY day) AS was FROM h)
+    SELECT addr, day, CAST(total AS BIGINT) AS total FROM w, z WHERE was = day - 1 AND total >= ceil(net * 2 / 10000.0) AND before >= ceil(net * 2 / 10000.0) AND (day + 1) * 86400 <= last - 86400""",
+    FLOW_SQL,
+)
+def stream_share_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts that sent two ten-thousandths of all amounts on two days that follow each other, judged by timers when the watermark, a day behind, has passed a day."""
+    net = int(event_flow(spark, sf_dir).agg(F.sum("v").cast("long")).first()[0] or 0)
+    stream, out = _stream(jobs.with_timers(spark), sf_dir)
+    jobs.run(jobs.share_alerts(stream.select(F.col("frm").alias("addr"), "at", "ts", "v"), net, 2, 86400, "1 day"), out)
+    return jobs.written(spark, out).select("addr", F.col("at").alias("day"), "total")
