@@ -27,7 +27,7 @@ long texts are read whole; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -233,11 +233,15 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     heads = heads.join(heads.groupBy("root").agg(F.count("*").alias("heads")), "root")
 
     row = F.struct(*map(named, docs.columns))
-    # Further columns decide among equal ids and texts; as text, since maps have no order.
-    rest = F.struct(*[named(c) for c in docs.columns if c != text_col]).cast("string")
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
-    ranked = docs.select(print_of(F.col(text_col).cast("binary")).alias("fp"), order.alias("by"), row.alias("row"))
-    firsts = ranked.groupBy("fp").agg(F.min("by").alias("by"), F.min_by("row", "by").alias("row")).join(heads, "fp")
+
+    def order(field: Callable[[str], Column]) -> Column:
+        # Further columns decide among equal ids and texts; as text, since maps have no order.
+        rest = F.struct(*[field(c).alias(c) for c in docs.columns if c != text_col]).cast("string")
+        return F.struct(field(id_col).isNull().alias("none"), field(id_col).alias("id"), field(text_col).alias("text"), rest.alias("rest"))
+
+    ranked = docs.select(print_of(F.col(text_col).cast("binary")).alias("fp"), order(named).alias("by"), row.alias("row"))
+    # Both uses of the rows need the same columns, so that they share one exchange.
+    firsts = ranked.groupBy("fp").agg(F.min_by("row", "by").alias("row")).join(heads, "fp")
     # Several fingerprints share the smallest id only where it is null or repeated.
-    several = firsts.filter("heads > 1").groupBy("root").agg(F.min_by("row", "by").alias("row"))
+    several = firsts.filter("heads > 1").groupBy("root").agg(F.min_by("row", order(F.col("row").getField)).alias("row"))
     return firsts.filter("heads = 1").select("row").unionByName(several.select("row")).select("row.*")
