@@ -13,8 +13,8 @@ the symbols, for a model that has to find turns inside rows by markers and line
 
 Viterbi runs over whole conversations of any length: lines are numbered within it and cut into
 segments of ``SEGMENT`` lines; each segment is reduced to a small max-plus matrix (best path
-from each state before it to each state at its end); the matrices of a conversation fix the
-states at the seams; then each segment is decoded on its own between known ends. The path
+from each state before it to each state at its end); the matrices of a conversation are streamed, forward
+and back, to fix the states at the seams; then each segment is decoded on its own between known ends. The path
 found is the best one, as if the conversation had been decoded in one piece.
 
 A found turn gives one canonical block ``<|role|>\\ntext\\n<|end|>`` without its marker. A row
@@ -122,19 +122,6 @@ class Hmm:
     def path(self, symbols: np.ndarray, before: int = -1, end: int = -1) -> list[int]:
         return self.paths([symbols], np.array([before]), np.array([end]))[0].tolist()
 
-    def seams(self, matrices: list[np.ndarray]) -> list[int]:
-        """State at the end of each segment on the best path."""
-        best, back = matrices[0][0], []
-        for m in matrices[1:]:
-            step = best[:, None] + m
-            back.append(step.argmax(axis=0))
-            best = step.max(axis=0)
-        state = int(best.argmax())
-        ends = [state]
-        for b in reversed(back):
-            ends.append(state := int(b[state]))
-        return ends[::-1]
-
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\r?\n")
@@ -217,22 +204,43 @@ def recover(talks: DataFrame, model: Hmm, conv_col: str = "conv_id", turn_col: s
             found = [shared.value.matrix(s, f).ravel() for s, f in zip(symbols_of(batch.column("lines")), first, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("conv"), batch.column("segment"), pa.array(found, pa.list_(pa.float64()))], names=["conv", "segment", "matrix"])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Best score in each state after each segment, and the state before it that leads there; segments come in order."""
+        begun, key, best = False, None, None
+        for batch in batches:
+            scores, backs = [], []
+            for conv, matrix in zip(batch.column("conv").to_pylist(), batch.column("matrix").to_pylist(), strict=True):
+                m = np.array(matrix).reshape(STATES, STATES)
+                if not begun or conv != key:
+                    begun, key = True, conv
+                    best, back = m[0], np.full(STATES, -1)
+                else:
+                    step = best[:, None] + m
+                    best, back = step.max(axis=0), step.argmax(axis=0)
+                scores.append(best)
+                backs.append(back)
+            yield pa.RecordBatch.from_arrays([batch.column("conv"), batch.column("segment"), pa.array(scores, pa.list_(pa.float64())), pa.array(backs, pa.list_(pa.int32()))], names=["conv", "segment", "scores", "back"])
+
+    def backward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """States before and at the end of each segment on the best path; segments come from the last to the first."""
+        begun, key, state = False, None, -1
         for batch in batches:
-            owner, out = [], []
-            for row, parts in enumerate(batch.column("parts").to_pylist()):
-                ends = shared.value.seams([np.array(p["matrix"]).reshape(STATES, STATES) for p in parts])
-                owner += [row] * len(parts)
-                out += [(p["segment"], before, end) for p, before, end in zip(parts, [-1, *ends], ends, strict=False)]
-            columns = zip(*out, strict=True) if out else [()] * 3
-            kinds = (pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("conv").take(pa.array(owner, pa.int64())), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["conv", "segment", "before", "end"])
+            befores, ends = [], []
+            for conv, scores, back in zip(*[batch.column(c).to_pylist() for c in ("conv", "scores", "back")], strict=True):
+                if not begun or conv != key:
+                    begun, key, state = True, conv, int(np.argmax(scores))
+                ends.append(state)
+                state = back[state]
+                befores.append(state)
+            yield pa.RecordBatch.from_arrays([batch.column("conv"), batch.column("segment"), pa.array(befores, pa.int32()), pa.array(ends, pa.int32())], names=["conv", "segment", "before", "end"])
 
     long_ = T.LongType()
     # Only conversations of several segments need seams: a row for each thousand lines.
     long = segments.filter("n > 1").select("conv", "segment", "opening", "lines").mapInArrow(reduce, T.StructType([conv, T.StructField("segment", long_), T.StructField("matrix", T.ArrayType(T.DoubleType()))]))
-    parts = long.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("segment", "matrix"))).alias("parts"))
-    seams = parts.mapInArrow(join, T.StructType([conv, T.StructField("segment", long_), T.StructField("before", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    # Each stream keeps one score or state, however many segments a conversation has.
+    ints, doubles = T.IntegerType(), T.ArrayType(T.DoubleType())
+    passed = long.repartition("conv").sortWithinPartitions("conv", "segment").mapInArrow(forward, T.StructType([conv, T.StructField("segment", long_), T.StructField("scores", doubles), T.StructField("back", T.ArrayType(ints))]))
+    seams = passed.repartition("conv").sortWithinPartitions("conv", F.col("segment").desc()).mapInArrow(backward, T.StructType([conv, T.StructField("segment", long_), T.StructField("before", ints), T.StructField("end", ints)]))
     both = segments["conv"].eqNullSafe(seams["conv"]) & (segments["segment"] == seams["segment"])
     fixed = segments.join(seams, both, "left").select(segments["conv"], "lines", F.coalesce("before", F.lit(-1)).alias("before"), F.coalesce("end", F.lit(-1)).alias("end"))
 
