@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerspark.functions.ranges import PART, by_ranges, last_known, running
+from ledgerspark.functions.shared import checkpointed
 from ledgerspark.operators.setjoin import similar_sets
 from ledgerspark.sources.adapters import SINKS
 
@@ -27,10 +28,18 @@ def interval_groups(buys: DataFrame, gap: int = 20, ratio_pct: int = 80, members
 
     ``buys``: (ts, seq, addr, v).
     """
+    return _alike(_batches(buys, gap), ratio_pct, members)
+
+
+def _batches(buys: DataFrame, gap: int) -> DataFrame:
+    """(ts, addr, v, batch): buys numbered by runs less than ``gap`` seconds apart."""
     order = ["ts", "seq"]
     before = last_known(by_ranges(buys, *order), order, F.col("ts"), "_b", strict=True)
     fresh = F.coalesce((F.col("ts") - F.col("_b") >= gap).cast("long"), F.lit(1).cast("long"))
-    batches = running(before, order, fresh, "batch").drop(PART, "_b")
+    return running(before, order, fresh, "batch").select("ts", "addr", "v", "batch")
+
+
+def _alike(batches: DataFrame, ratio_pct: int, members: int) -> DataFrame:
     per = batches.groupBy("batch", "addr").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.min("ts").alias("a"), F.max("ts").alias("b"))
     out = per.groupBy("batch").agg(F.count("*").alias("members"), F.min("lo").alias("lowest"), F.max("hi").alias("highest"), F.min("a").alias("first"), F.max("b").alias("last"))
     return out.filter((F.col("members") >= members) & (F.col("lowest") * 100 >= F.col("highest") * ratio_pct))
@@ -41,6 +50,31 @@ def first_movers(actions: DataFrame, batch: str, member: str, least: int = 2) ->
     return actions.groupBy(member).agg(F.count_if(F.col("rank") == 1).alias("firsts"), F.count("*").alias("batches")).filter(F.col("firsts") >= least)
 
 
+def first_mover_chance(actions: DataFrame, batch: str, member: str, least: int = 2, limit: float = 0.002) -> DataFrame:
+    """(member, firsts, batches, expected, chance, order): how often a member comes first in its batches against a random order.
+
+    In random order each of a batch's members is first alike; ``chance`` bounds the probability of so many firsts from above
+    (Chernoff: e^(k - m) (m / k)^k for k firsts where m are expected). ``fixed`` if it is at most ``limit``, else ``random``.
+    """
+    sizes = actions.groupBy(batch).agg(F.count("*").alias("_n"))
+    per = actions.join(sizes, batch).groupBy(member).agg(F.count_if(F.col("rank") == 1).alias("firsts"), F.count("*").alias("batches"), F.sum(1 / F.col("_n")).alias("expected"))
+    k, m = F.col("firsts").cast("double"), F.col("expected")
+    chance = F.when(k > m, F.exp(k - m - k * F.ln(k / m))).otherwise(1.0)
+    out = per.filter(F.col("firsts") >= least).withColumn("chance", chance)
+    return out.withColumn("order", F.when(F.col("chance") <= limit, "fixed").otherwise("random"))
+
+
+def repeated_groups(buys: DataFrame, gap: int = 20, ratio_pct: int = 80, members: int = 10) -> DataFrame:
+    """(a, b, common): batches of ``interval_groups`` at least ``members`` of whose accounts come again in another such batch.
+
+    ``buys``: (ts, seq, addr, v). Batches meet through their rare accounts.
+    """
+    rows = checkpointed(_batches(buys, gap))
+    good = _alike(rows, ratio_pct, members).select("batch")
+    sets = rows.join(good, "batch", "left_semi").select(F.col("batch").alias("set"), F.col("addr").alias("item"))
+    return similar_sets(sets, least=members).select("a", "b", "common")
+
+
 def token_pairs(holdings: DataFrame, support: int = 3, jaccard_pct: int = 50) -> DataFrame:
     """(a, b, common, either): members that share at least ``support`` items and enough of all that either has. ``holdings``: (member, item). Members meet through their rare items."""
     found = similar_sets(holdings.select(F.col("member").alias("set"), "item"), least=support, jaccard_pct=jaccard_pct)

@@ -196,6 +196,29 @@ def first_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return methods.first_movers(days, "day", "frm", 1)
 
 
+@register(
+    """WITH n AS (SELECT day, count(*) AS n FROM bo GROUP BY day), m AS (SELECT frm, count(*) FILTER (rank = 1) AS k, count(*) AS batches, sum(1.0 / n) AS m FROM bo JOIN n USING (day) GROUP BY frm HAVING count(*) FILTER (rank = 1) >= 1)
+    SELECT frm, k AS firsts, batches, CAST(round(1000 * CAST(m AS DOUBLE)) AS BIGINT) AS expected, CAST(round(1000 * CASE WHEN k > m THEN exp(k - m - k * ln(k / m)) ELSE 1 END) AS BIGINT) AS chance, CASE WHEN CASE WHEN k > m THEN exp(k - m - k * ln(k / m)) ELSE 1 END <= 0.3 THEN 'fixed' ELSE 'random' END AS "order" FROM m""",
+    FLOW_SQL,
+    "ba AS (SELECT ts // 86400 AS day, frm, min(ts) AS ts, arg_min(seq, (ts, seq)) AS seq FROM e GROUP BY ALL), bo AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY ts, seq, frm) AS rank FROM ba)",
+)
+def first_mover_chance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Senders that were the first of a day, against a random order; three in ten is a limit that the tables reach."""
+    days = sequence.first_actions(event_flow(spark, sf_dir).withColumn("day", F.floor(F.col("ts") / 86400)), ["day"], "frm")
+    return _whole(methods.first_mover_chance(days, "day", "frm", 1, 0.3), "expected", "chance")
+
+
+@register(
+    """WITH b AS (SELECT *, CASE WHEN ts - lag(ts) OVER (ORDER BY ts, seq) < 3600 THEN 0 ELSE 1 END AS fresh FROM e), g AS (SELECT *, CAST(sum(fresh) OVER (ORDER BY ts, seq) AS BIGINT) AS batch FROM b),
+    k AS (SELECT batch FROM g GROUP BY batch HAVING count(DISTINCT frm) >= 2 AND min(v) * 100 >= max(v)), m AS (SELECT DISTINCT batch, frm FROM g WHERE batch IN (SELECT batch FROM k))
+    SELECT x.batch AS a, y.batch AS b, count(*) AS common FROM m x JOIN m y ON x.frm = y.frm AND x.batch < y.batch GROUP BY ALL HAVING count(*) >= 2""",
+    FLOW_SQL,
+)
+def repeated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of events under an hour apart, of amounts within a factor of a hundred, that share two accounts at least."""
+    return methods.repeated_groups(event_flow(spark, sf_dir).withColumnRenamed("frm", "addr"), 3600, 1, 2)
+
+
 TOKEN_SQL = """
 ho AS (SELECT frm AS member, v % 60 AS item, min(ts) AS ts FROM e GROUP BY ALL),
 tp AS (SELECT x.member AS a, y.member AS b, count(*) AS common FROM ho x JOIN ho y ON x.item = y.item AND x.member < y.member GROUP BY ALL),

@@ -176,3 +176,30 @@ def anchor_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     except stores.StaleWriter:
         return store.load().agg(F.lit(store.version()).cast("long").alias("version"), F.count("*").alias("blocks"), F.sum("ts").alias("total"))
     raise AssertionError("a stale writer was not turned away")
+
+
+@register("SELECT ts, CAST(max(v) AS DOUBLE) AS price FROM e WHERE v > 0 GROUP BY ts", FLOW_SQL)
+def price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices from CSV with columns under other names, and from JSON documents of both shapes, as one series."""
+    rows, path = event_flow(spark, sf_dir).select("seq", "ts", "v"), _path(spark, "prices")
+    rows.filter("seq % 3 = 0").select(F.col("v").alias("Close"), (F.col("ts") * 1000).alias("Timestamp")).write.option("header", True).csv(f"{path}/a")
+    pairs = F.concat(F.lit("["), F.array_join(F.collect_list(F.format_string("[%d,%d]", "ts", "v")), ","), F.lit("]"))
+    # A document for each of 50 groups.
+    for name, rest, wrap in (("b", 1, pairs), ("c", 2, F.concat(F.lit('{"prices":'), pairs, F.lit("}")))):
+        rows.filter(F.col("seq") % 3 == rest).groupBy((F.col("seq") % 50).alias("g")).agg(wrap.alias("value")).select("value").repartition(50).write.option("lineSep", " ").text(f"{path}/{name}.json")
+    each = [files.read_price_file(spark, f"{path}/{x}") for x in ("a", "b.json", "c.json")]
+    return each[0].unionByName(each[1]).unionByName(each[2]).groupBy("ts").agg(F.max("price").alias("price"))
+
+
+@register(
+    """WITH k AS (SELECT c_custkey AS k, '0x' || substr(md5(CAST(c_custkey % 97 AS VARCHAR)), 1, 32) || '00000000' AS address FROM customer), p AS (SELECT address, max(k) AS k FROM k WHERE k % 2 = 0 GROUP BY address), m AS (SELECT address, max(k) AS k FROM k WHERE k % 5 = 1 GROUP BY address)
+    SELECT 'eth' AS chain, coalesce(m.address, p.address) AS address, CASE WHEN m.k IS NOT NULL THEN 'main ' || m.k ELSE 'privacy ' || p.k END AS name, CASE WHEN m.k IS NOT NULL THEN '' ELSE 'tornado-user' END AS risk_flags FROM p FULL JOIN m ON p.address = m.address"""
+)
+def label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label tables from a privacy file and a main file that overrides it, each with several rows for an address."""
+    k, path = F.col("c_custkey"), _path(spark, "labels")
+    address = F.concat(F.lit("0x"), F.upper(F.substring(F.md5((k % 97).cast("string")), 1, 32)), F.lit("00000000"))
+    rows = table(spark, sf_dir, "customer").select(k, address.alias("address"), F.lit("eth").alias("chain"))
+    for name, part, more in (("privacy", k % 2 == 0, F.lit("tornado-user")), ("main", k % 5 == 1, F.lit(""))):
+        rows.filter(part).select("address", "chain", F.concat(F.lit(f"{name} "), k).alias("name"), more.alias("risk_flags"), k.alias("_k")).repartitionByRange("_k").sortWithinPartitions("_k").drop("_k").coalesce(1).write.option("header", True).csv(f"{path}/{name}")
+    return files.read_labels(spark, f"{path}/privacy", f"{path}/main").select("chain", "address", "name", "risk_flags")

@@ -223,3 +223,50 @@ def read_prices(rows: DataFrame, ts: str, price: str) -> DataFrame:
     """(ts, price): seconds, whatever the unit; one price a time, the largest of equal times; bad rows left out."""
     found = rows.select(seconds(F.col(ts)).alias("ts"), F.col(price).cast("string").try_cast("double").alias("price"))
     return found.filter("ts is not null and price > 0").groupBy("ts").agg(F.max("price").alias("price"))
+
+
+#: Names, in lower case, under which columns of time and price are found, the first that is there.
+TIME_NAMES = ("ts", "timestamp", "time", "date")
+PRICE_NAMES = ("price", "close")
+
+
+def found_column(columns: list[str], names: tuple[str, ...]) -> str:
+    """The column that has one of the names, whatever its case; raises if none has."""
+    known = {c.strip().lower(): c for c in reversed(columns)}
+    for name in names:
+        if name in known:
+            return known[name]
+    raise ValueError(f"none of {names} among the columns {columns}")
+
+
+def read_price_file(spark: SparkSession, path: str) -> DataFrame:
+    """(ts, price) of CSV with columns of time and price by their names, or of JSON documents ``[[ts, price], …]`` or ``{"prices": [[ts, price], …]}``.
+
+    A JSON document is one row of one task, as it is one value. A document of another shape raises.
+    """
+    if not path.rstrip("/").endswith(".json"):
+        rows = spark.read.option("header", True).csv(path)
+        return read_prices(rows, found_column(rows.columns, TIME_NAMES), found_column(rows.columns, PRICE_NAMES))
+    text = spark.read.option("wholetext", True).text(path)
+    pairs = "array<array<string>>"
+    shape = F.coalesce(F.from_json("value", f"struct<prices:{pairs}>")["prices"], F.when(F.ltrim("value").startswith("["), F.from_json("value", pairs)))
+    pair = F.explode(F.coalesce(shape, F.raise_error(F.lit(f"{path}: neither a list of pairs nor prices")).cast(pairs))).alias("p")
+    return read_prices(text.select(pair).select(F.get("p", F.lit(0)).alias("t"), F.get("p", F.lit(1)).alias("v")), "t", "v")
+
+
+def read_labels(spark: SparkSession, *paths: str) -> DataFrame:
+    """Label rows of CSV files in layers, of which later ones override earlier ones (privacy tables first, main tables after them); missing columns are empty.
+
+    Within a file the last row of an address counts. Addresses are trimmed, and lower-cased where they are hexadecimal.
+    """
+    from ledgerspark.operators.labels import layered
+
+    columns = "address chain name category tier source added_date evidence risk_flags merge_policy balance_policy source_snapshot_at verified_at status".split()
+    layers = []
+    for path in paths:
+        raw = spark.read.option("header", True).csv(path)
+        own = {c.strip().lower(): c for c in raw.columns}
+        rows = raw.select(*[(F.coalesce(F.col(f"`{own[c]}`"), F.lit("")) if c in own else F.lit("")).alias(c) for c in columns], F.monotonically_increasing_id().alias("arrival"))
+        address = F.trim("address")
+        layers.append(rows.withColumn("address", F.when(address.rlike("^0[xX][0-9a-fA-F]{40}$"), F.lower(address)).otherwise(address)).filter("address <> ''"))
+    return layered(*layers).drop("arrival")
