@@ -209,14 +209,14 @@ def first_mover_chance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    """WITH b AS (SELECT *, CASE WHEN ts - lag(ts) OVER (ORDER BY ts, seq) < 3600 THEN 0 ELSE 1 END AS fresh FROM e), g AS (SELECT *, CAST(sum(fresh) OVER (ORDER BY ts, seq) AS BIGINT) AS batch FROM b),
+    """WITH b AS (SELECT *, CASE WHEN ts - lag(ts) OVER (ORDER BY ts, seq) < 900 THEN 0 ELSE 1 END AS fresh FROM e), g AS (SELECT *, CAST(sum(fresh) OVER (ORDER BY ts, seq) AS BIGINT) AS batch FROM b),
     k AS (SELECT batch FROM g GROUP BY batch HAVING count(DISTINCT frm) >= 2 AND min(v) * 100 >= max(v)), m AS (SELECT DISTINCT batch, frm FROM g WHERE batch IN (SELECT batch FROM k))
     SELECT x.batch AS a, y.batch AS b, count(*) AS common FROM m x JOIN m y ON x.frm = y.frm AND x.batch < y.batch GROUP BY ALL HAVING count(*) >= 2""",
     FLOW_SQL,
 )
 def repeated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of events under an hour apart, of amounts within a factor of a hundred, that share two accounts at least."""
-    return methods.repeated_groups(event_flow(spark, sf_dir).withColumnRenamed("frm", "addr"), 3600, 1, 2)
+    """Runs of events under a quarter of an hour apart, of amounts within a factor of a hundred, that share two accounts at least."""
+    return methods.repeated_groups(event_flow(spark, sf_dir).withColumnRenamed("frm", "addr"), 900, 1, 2)
 
 
 TOKEN_SQL = """
