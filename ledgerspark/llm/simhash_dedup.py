@@ -16,8 +16,9 @@ in one of them. No link is lost and nothing is capped:
   to the smallest. That is linear in the bucket. (An odd radius rounds one half up.)
 
 Components come from alternating large-star and small-star steps, each written to the
-shared folder. A fingerprint of many rows and a component of many fingerprints are joined
-by broadcast: under a thousand can have a thousandth of all rows each.
+shared folder. A fingerprint of many rows, a component of many fingerprints and a
+fingerprint of many links are joined by broadcast: under a thousand can have a thousandth
+of all rows each.
 
 Defined cases: a null text counts as empty and gets fingerprint zero; rows with a null id
 take part, but a component's id is its smallest id that is not null (null if there is
@@ -155,7 +156,8 @@ def _near(fp: Column, choice: Column, chosen: list[int], radius: int) -> Column:
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, root): the smallest node of each connected component, for the nodes of ``edges`` (a, b).
 
-    Each round is written to the shared folder and replaces the one before.
+    Each step is written to the shared folder and replaces the one before. A node with a large share of all
+    links gets its smallest neighbour by broadcast, so its links stay spread.
     """
     spark = edges.sparkSession
 
@@ -165,20 +167,23 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         return spark.read.parquet(path), path
 
     edges, path = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    before = None
+    before, n_edges = None, edges.count()
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        near = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(near, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")).filter("n > 0")
+        # Every edge has one larger end, so both steps join at most ``n_edges`` rows.
+        raised = join_spread(both.filter("v > u"), least, "u", "n", n_edges)
+        large, there = kept(raised.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        near = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_spread(large, near, "u", "n", n_edges).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         old = path
         edges, path = kept(small.unionByName(near.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         delete_path(spark, old)
+        delete_path(spark, there)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, n_edges = state, state[0]
     else:
         raise RuntimeError("components did not settle")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import sys
 import zlib
 from pathlib import Path
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from conftest import DATA
 
-from ledgerspark.llm import decontaminate, toxicity
+from ledgerspark.llm import chat_format, decontaminate, simhash_dedup, toxicity, url_filter
 
 SMALL = str(DATA / "sf0.001")
 
@@ -68,3 +69,43 @@ def test_pipeline_stages_with_maps_and_odd_names(spark):
         assert out.count() > 0
     kept = corpus_pipeline.dedup(spark, docs, SMALL).collect()
     assert sorted((r["doc_id"], r["tags"]["a"]) for r in kept) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_components_of_hot_fingerprints(spark):
+    """Stars around the largest, the least and a middle fingerprint, each with most links; joined by a few more they are fewer components."""
+    edges = [(10**6, k) for k in range(1, 900)] + [(-5, 2000 + k) for k in range(900)] + [(5000, 4000 + k) for k in range(2000) if k != 1000]
+    for extra, roots in (([], 3), ([(7, 2003)], 2), ([(7, 2003), (4001, 8000), (8000, 9000), (9000, 10**6)], 1)):
+        own = edges + extra
+        got = {r["node"]: r["root"] for r in simhash_dedup.components(spark.createDataFrame(own + own[:99], "a long, b long")).collect()}
+        assert len(got) == len({n for e in own for n in e}) and len(set(got.values())) == roots
+        assert all(got[a] == got[b] <= min(a, b) for a, b in own) and all(got[r] == r for r in set(got.values()))
+
+
+def test_chat_rows_that_repeat(spark):
+    """A third of all rows are equal, with null keys or not; each gets its turns, as its single copy would."""
+    model = chat_format.fit(spark.createDataFrame([(1, 1, "user", "Hello there?"), (1, 2, "assistant", "Hello. How can I help?"), (1, 3, "user", "Thanks.")], "conv_id long, turn long, role string, text string"))
+    plain = [(k, t, f"line {t} of {k}?") for k in range(60) for t in range(1, 6)] + [(None, 1, "one"), (3, None, "two"), (None, None, None)]
+    copies = [(None, None, "the same text"), (7, 1, "the same text")]
+    frame = lambda rows: spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    once = sorted(map(repr, chat_format.format_chats(frame(plain + copies), model).collect()))
+    found = chat_format.format_chats(frame(plain + copies * 90), model)
+    got = sorted(map(repr, found.collect()))
+    assert len(got) == len(plain) + 180 and sorted(set(got)) == sorted(set(once)) and len(once) == len(plain) + 2
+
+
+def test_url_features_by_brute_force(spark):
+    urls = ["https://www.Ads-24.example.co.uk:80/a/b//c.html?x=1&y=22#f?z=3", "http://x", "no host/at all?a=1", "", None, "ftp://a.b/?", "s://-9-.de#?q=1", "h://ünï.com/ä1/2?k", "://?#", "x://y//z://w/1?&&"]
+    for row in url_filter.lexical(spark.createDataFrame([(u,) for u in urls], "url string")).collect():
+        text = row["url"] or ""
+        rest = text.partition("://")[2]
+        ends = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+        host = rest[:ends].translate({k: k + 32 for k in range(65, 91)})
+        path = rest[ends:].split("?")[0].split("#")[0]
+        query = text.partition("?")[2].split("#")[0] if "?" in text else ""
+        shares = [host.count(c) / len(host) for c in set(host)]
+        want = {
+            "host": host, "path": path, "suffix": ".".join(host.split(".")[-3:]), "url_length": len(text), "host_length": len(host), "path_length": len(path), "host_depth": len(host.split(".")),
+            "path_depth": sum(a == "/" and b != "/" for a, b in zip(path, path[1:])), "digit_ratio": sum(c in "0123456789" for c in text) / len(text) if text else 0, "hyphens": host.count("-"), "parameters": query.count("&") + 1 if query else 0,
+        }
+        assert {k: row[k] for k in want} == want, text
+        assert math.isclose(row["host_entropy"], -sum(p * math.log2(p) for p in shares), abs_tol=1e-9), text
