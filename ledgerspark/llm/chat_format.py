@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm._common import bounded_batches, cut
+from ledgerspark.llm._common import bounded_batches, cut, join_spread
 
 ROLES = ("system", "user", "assistant", "tool")
 #: States: a role's opening line, then its further lines.
@@ -267,10 +267,14 @@ def _without_marker(text: Column) -> Column:
 
 def _blocks(talks: DataFrame, model: Hmm, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
     """(conv, turn, blocks): each input row with its found turns, an array of (role, text)."""
-    found = recover(talks, model, conv_col, turn_col, text_col).select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("digest").alias("d"), "states")
+    # Rows that are equal in all three share their found states; nulls are keys like any other.
+    key = F.struct("conv", "turn", "digest")
+    found = recover(talks, model, conv_col, turn_col, text_col).select(key.alias("key"), "states")
     rows = talks.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(text_col).alias("text")).withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    same = rows["conv"].eqNullSafe(found["c"]) & rows["turn"].eqNullSafe(found["t"]) & (rows["digest"] == found["d"])
-    both = rows.join(found, same).select("conv", "turn", _lines(F.col("text")).alias("lines"), "states")
+    rows = rows.withColumn("key", key)
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    # Many equal rows meet their states by broadcast, so that they stay where they are.
+    both = join_spread(rows, cut(found.join(counts, "key")), "key", "n", talks.count()).select("conv", "turn", _lines(F.col("text")).alias("lines"), "states")
     opens = F.filter(F.transform("states", lambda s, i: F.when((i == 0) | (s % 2 == 0), i)), lambda x: x.isNotNull())
     both = both.withColumn("opens", opens)
     role = lambda s: F.get(F.array(*map(F.lit, ROLES)), F.floor(s / 2).cast("int"))
