@@ -25,6 +25,19 @@ def grid_join(a: DataFrame, b: DataFrame, *keys: str, hot: int = 1000, side: int
     return dealt(a, "_line", "_column").join(dealt(b, "_column", "_line"), [*keys, "_line", "_column"]).drop("_line", "_column")
 
 
+def hub_join(rows: DataFrame, table: DataFrame, key: str, count: str, most: int, hot: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, whose keys are unique and whose ``count`` says how many of at most ``most`` rows each has.
+
+    Keys with more than a ``hot``-th of ``most`` rows number less than ``hot``; their part of ``table`` is broadcast, so their
+    rows stay where they are. All others are shuffled.
+    """
+    its = [c for c in table.columns if c not in (key, count)]
+    large = F.broadcast(table.filter(F.col(count) * hot > most).select(key, F.struct(*its).alias("_its")))
+    met = rows.join(large, key, "left")
+    rest = table.filter(F.col(count) * hot <= most).select(key, *its)
+    return met.filter("_its is not null").select(*rows.columns, "_its.*").unionByName(met.filter("_its is null").select(*rows.columns).join(rest, key))
+
+
 def range_cells(low: Column, high: Column) -> Column:
     """Array of (level, cell) of a closed range of longs: the cells of 2^level numbers that it touches, of the largest size that fits in it; at most three. An empty range has none."""
     level = F.floor(F.log2((high - low + 1).cast("double"))).cast("int")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.joins import hub_join
 from ledgerspark.functions.rows import rows
 from ledgerspark.functions.shared import checkpointed
 from ledgerspark.sources.adapters import SINKS, ZERO
@@ -80,23 +81,26 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(addr, root): smallest account of each connected component of ``links`` (frm, dst), for all accounts in them.
 
     Alternating large-star and small-star steps: rounds grow with the logarithm of the
-    longest path, each is a few joins on edges, and lineage is cut at each round.
+    longest path, each is a few joins on edges, and lineage is cut at each round. An account with a large
+    share of all edges gets its smallest neighbour by broadcast, so its edges stay spread.
     """
     pairs = links.filter("frm <> dst").select(F.greatest("frm", "dst").alias("u"), F.least("frm", "dst").alias("v")).distinct()
     pairs = checkpointed(pairs)
-    seen = None
+    seen, most = None, pairs.count()
     for _ in range(most_rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        near = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(near, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")).filter("n > 0")
+        # Every edge has one larger end, so both steps join at most as many rows as there are edges.
+        raised = hub_join(both.filter("v > u"), least, "u", "n", most)
+        large = checkpointed(raised.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        near = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = hub_join(large, near, "u", "n", most).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = checkpointed(small.unionByName(near.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             tops = pairs.select(F.col("v").alias("addr"), F.col("v").alias("root")).distinct()
             return pairs.select(F.col("u").alias("addr"), F.col("v").alias("root")).unionByName(tops)
-        seen = state
+        seen, most = state, state[0]
     raise RuntimeError("components did not settle")
 
 

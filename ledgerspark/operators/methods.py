@@ -115,9 +115,30 @@ def revivals(days: DataFrame, quiet_days: int, quiet: int, burst: int) -> DataFr
 def bursts(events: DataFrame, width: int, factor: int) -> DataFrame:
     """(bar, n, before): bars of ``width`` seconds with ``factor`` times the events of the busiest of the twelve bars before."""
     bars = events.groupBy((F.floor(F.col("ts") / width) * width).alias("bar")).agg(F.count("*").alias("n"))
-    # One row a bar.
-    before = F.coalesce(F.max("n").over(Window.orderBy("bar").rangeBetween(-12 * width, -1)), F.lit(0))
-    return bars.withColumn("before", before).filter((F.col("before") > 0) & (F.col("n") >= F.col("before") * factor))
+    # Each bar tells the twelve after it how busy it was.
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(12)))
+    told = bars.select("n", "bar", ahead.alias("k")).select((F.col("bar") + F.col("k") * width).alias("bar"), F.when(F.col("k") == 0, F.col("n")).alias("own"), F.when(F.col("k") > 0, F.col("n")).alias("n"))
+    both = told.groupBy("bar").agg(F.max("own").alias("own"), F.max("n").alias("before"))
+    return both.filter(F.col("own") >= F.col("before") * factor).select("bar", F.col("own").alias("n"), "before")
+
+
+def pull_leverage(days: DataFrame, span: int) -> DataFrame:
+    """(day, cap_change, turnover, leverage): change of the market cap over ``span`` days against what was traded for it, in whole thousandths.
+
+    ``days``: (day, close, supply, volume), a row a day at most. The change is from the day ``span`` days before, which must be there;
+    the turnover is of the days after it up to this one. Days without turnover have no leverage.
+    """
+    told = days.select("day", F.col("volume").alias("v"), (F.col("close").cast("decimal(19,0)") * F.col("supply").cast("decimal(19,0)")).alias("cap"), F.explode(F.sequence(F.lit(0), F.lit(span))).alias("k"))
+    late, last = F.col("k") < span, F.col("k") == span
+    # Each day tells itself and those after it what was traded, and the one a span later what the cap was.
+    spans = told.groupBy((F.col("day") + F.col("k")).alias("day")).agg(
+        F.max(F.when(F.col("k") == 0, F.col("cap"))).alias("cap"),
+        F.max(F.when(last, F.col("cap"))).alias("before"),
+        F.sum(F.when(late, F.col("v"))).alias("turnover"),
+    )
+    change = F.col("cap") - F.col("before")
+    leverage = F.when(F.col("turnover") > 0, F.floor(F.abs(change).cast("double") * 1000 / F.col("turnover").cast("double")).cast("long"))
+    return spans.filter(change.isNotNull()).select("day", change.alias("cap_change"), "turnover", leverage.alias("leverage"))
 
 
 def price_walls(events: DataFrame, closes: DataFrame) -> DataFrame:

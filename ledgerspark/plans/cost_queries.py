@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.joins import interval_join
+from ledgerspark.functions.ranges import by_ranges, running
 from ledgerspark.operators import cost, graph, ledger, methods, sequence
 from ledgerspark.plans.registry import longs, register
 from ledgerspark.sources.adapters import FLOW_SQL, TRADE_SQL, camps, event_flow, exchanges, table, trade_ledger
@@ -307,6 +308,22 @@ def price_walls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _whole(methods.price_walls(walls, closes), "wall")
 
 
+@register(
+    """WITH h AS (SELECT ts // 3600 AS day, arg_max(v, (ts, seq)) AS close, sum(v) AS volume FROM e GROUP BY ALL),
+    s AS (SELECT day, close * sum(CASE WHEN volume % 3 = 0 THEN volume ELSE 0 END) OVER (ORDER BY day) AS cap, sum(volume) OVER (ORDER BY day RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS turnover FROM h),
+    c AS (SELECT s.day, s.cap - b.cap AS cap_change, s.turnover FROM s JOIN s b ON b.day = s.day - 5)
+    SELECT day, CAST(cap_change AS BIGINT) AS cap_change, CAST(turnover AS BIGINT) AS turnover, CASE WHEN turnover > 0 THEN CAST(floor(CAST(abs(cap_change) AS DOUBLE) * 1000 / CAST(turnover AS DOUBLE)) AS BIGINT) END AS leverage FROM c""",
+    FLOW_SQL,
+)
+def pull_leverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change of the market cap over five hours against what was traded for it; amounts stand for prices, and every third hour's flow is minted."""
+    rows = event_flow(spark, sf_dir)
+    hours = rows.groupBy(F.floor(F.col("ts") / 3600).alias("day")).agg(F.max_by("v", F.struct("ts", "seq")).alias("close"), F.sum("v").alias("volume"))
+    minted = by_ranges(hours.withColumn("minted", F.when(F.col("volume") % 3 == 0, F.col("volume")).otherwise(0)), "day")
+    supplied = running(minted, ["day"], F.col("minted"), "supply")
+    return longs(methods.pull_leverage(supplied.select("day", "close", "supply", "volume"), 5), "cap_change", "turnover")
+
+
 @register(
     """WITH l AS (SELECT block, tx, dst AS addr, v AS x FROM t UNION ALL SELECT block, tx, frm, -v FROM t), nx AS (SELECT camp, block, tx, sum(x) AS x FROM l JOIN camp USING (addr) GROUP BY ALL),
     h AS (SELECT camp, block, tx, sum(x) OVER (PARTITION BY camp ORDER BY block, tx) AS held FROM nx) SELECT camp, CAST(max(held) AS BIGINT) AS peak, arg_max(tx, (held, -block, -tx)) AS peak_tx FROM h GROUP BY camp""",

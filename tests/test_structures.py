@@ -6,8 +6,8 @@ import random
 
 import pytest
 
-from ledgerspark.functions.joins import grid_join, interval_join
-from ledgerspark.operators import bridges, cost, labels, methods, reconcile, sensitivity, sequence, setjoin
+from ledgerspark.functions.joins import grid_join, hub_join, interval_join
+from ledgerspark.operators import bridges, cost, graph, labels, methods, reconcile, sensitivity, sequence, setjoin
 
 
 def _side(edges, start, without):
@@ -169,3 +169,43 @@ def test_every_fixed_label_has_its_class(spark):
     flags = spark.createDataFrame([(v,) for v in kinds], "flag string")
     assert {r["flag"]: r["k"] for r in flags.withColumn("k", labels.risk_kind(flags["flag"])).collect()} == kinds
     assert {"scam", "exploit", "exploiter", "heist", "phish-hack", "blocked"} <= set(labels.DEFINITIVE) & set(labels.RISKS)
+
+
+def test_hub_join_equals_a_plain_join(spark):
+    """Half of the rows are on one key, many keys have one row, some have no match; a null key meets nothing."""
+    rows = spark.createDataFrame([("hub", k) for k in range(3000)] + [(f"k{k}", k) for k in range(2000)] + [("away", 1), (None, 2)], "u string, v long")
+    sizes = spark.createDataFrame([("hub", 7, 3000)] + [(f"k{k}", k, 1) for k in range(1500)], "u string, m long, n long")
+    for hot in (2, 1000, 10**9):
+        found = hub_join(rows, sizes, "u", "n", rows.count(), hot)
+        assert found.columns == ["u", "v", "m"]
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.join(sizes, "u").select("u", "v", "m").collect()))
+
+
+def test_components_of_stars(spark):
+    """Stars whose middles are the largest, the least and another name, joined by a path, each with most of all edges; repeated and reversed edges count once."""
+    edges = [("zz", f"a{k:04}") for k in range(900)] + [("0", f"b{k:04}") for k in range(900)] + [("m", f"{'cy'[k % 2]}{k:04}") for k in range(1800)]
+    for extra, roots in (([], 3), ([("a0005", "b0007")], 2), ([("a0005", "b0007"), ("y0001", "p1"), ("p1", "p2"), ("p2", "zz")], 1)):
+        own = edges + extra + [e[::-1] for e in edges[::7]] + edges[:50]
+        got = {r["addr"]: r["root"] for r in graph.components(spark.createDataFrame(own, "frm string, dst string")).collect()}
+        assert len(got) == len({n for e in own for n in e}) and len(set(got.values())) == roots
+        assert all(got[a] == got[b] <= min(a, b) for a, b in own) and all(got[r] == r for r in set(got.values()))
+
+
+def test_bursts_look_back_twelve_bars(spark):
+    """A bar is held against the busiest of twelve before it, also across empty ones; the thirteenth before doesn't count, nor does a start without any."""
+    counts = {0: 9, 10: 2, 13: 4, 22: 7, 25: 8, 60: 50}
+    events = spark.createDataFrame([(bar * 300 + k,) for bar, n in counts.items() for k in range(n)], "ts long")
+    found = {r["bar"] // 300: (r["n"], r["before"]) for r in methods.bursts(events, 300, 2).collect()}
+    want = {}
+    for bar, n in counts.items():
+        before = max((m for b, m in counts.items() if bar - 12 <= b < bar), default=0)
+        if before and n >= 2 * before:
+            want[bar] = (n, before)
+    assert found == want and 13 in want and 60 not in want
+
+
+def test_pull_leverage_on_known_days(spark):
+    """A cap that doubles on little turnover; a day without one five days before has none, a span without turnover no leverage."""
+    days = [(1, 10, 1000, 5), (3, 10, 1000, 7), (4, 15, 1000, 0), (6, 20, 1000, 8), (8, 5, 1000, 0), (9, 15, 1000, 0), (20, 1, 1, 1), (30, 2, 1000, 0), (35, 4, 1000, 0)]
+    found = {r["day"]: (int(r["cap_change"]), int(r["turnover"]), r["leverage"]) for r in methods.pull_leverage(spark.createDataFrame(days, "day long, close long, supply long, volume long"), 5).collect()}
+    assert found == {6: (10_000, 15, 666_666), 8: (-5_000, 8, 625_000), 9: (0, 8, 0), 35: (2_000, 0, None)}
