@@ -5,9 +5,12 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import duckdb
+
 from ledgerspark.functions.prefix import prefix_sums
 from ledgerspark.functions.sliding import best_window, sliding
 from ledgerspark.operators import distribution, graph, ledger, scanners, sequence
+from ledgerspark.plans import catalogue
 
 LEDGER = "block long, tx long, li long, frm string, dst string, v decimal(38,0)"
 
@@ -81,6 +84,39 @@ def test_spray_boundary_is_inclusive(spark):
     assert scanners.sprays(flow(20, 9), "ts", 100, 200, 20).count() == 0
 
 
+def test_fresh_sprays_list_every_sender_of_a_first_receipt(spark, tmp_path):
+    """One cent to one new account is a row, beside a sender of nearly all; refills of known accounts are none. The same from code and SQL."""
+    day, rng = 86400, random.Random(4)
+    flow = [(0, 1, 101, 0.01), (0, 2, 102, 9000.0), (3 * day, 2, 103, 9000.0), (20 * day, 2, 104, 500.0), (9, 3, 101, 800.0), (9, 3, 102, 800.0), (5, 4, 4, 70.0), (5, 5, 105, 0.0)]
+    flow += [(rng.randint(0, 40 * day), rng.randint(10, 30), rng.randint(200, 260), rng.randint(0, 90) / 100) for _ in range(400)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR)")
+    con.executemany("INSERT INTO events VALUES (?, make_timestamp(?), ?, 'view', ?, ?)", [(k, t * 1_000_000, f, v, f'{{"k": {d}}}') for k, (t, f, d, v) in enumerate(flow)])
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    real = [(t, f, d, round(v * 100)) for t, f, d, v in flow if v > 0 and f != d]
+    first = {d: min(t for t, _, x, _ in real if x == d) for _, _, d, _ in real}
+    want = {}
+    for f in {f for _, f, _, _ in real}:
+        own = [(t, d, v) for t, s, d, v in real if s == f and t == first[d]]
+        windows = [[(d, v) for t, d, v in own if end - 14 * day <= t <= end] + [end] for end in sorted({t for t, _, _ in own})]
+        if windows:
+            best = max(windows, key=lambda w: sum(v for _, v in w[:-1]))
+            want[f"U{f}"] = (best[-1], sum(v for _, v in best[:-1]), len({d for d, _ in best[:-1]}))
+    assert want["U1"] == (0, 1, 1) and want["U2"] == (3 * day, 1_800_000, 2) and not {"U3", "U4", "U5"} & set(want) and len(want) > 10
+    columns = ["addr", "window_end", "total", "members"]
+    ours = catalogue.queries()["sprays_pulse_fresh"](spark, str(tmp_path)).select(columns).collect()
+    theirs = con.execute(f"SELECT {', '.join(columns)} FROM ({catalogue.oracle_sql()['sprays_pulse_fresh']})").fetchall()
+    assert {r[0]: tuple(r[1:]) for r in ours} == want and len(ours) == len(want)
+    assert {r[0]: tuple(r[1:]) for r in theirs} == want and len(theirs) == len(want)
+
+
+def test_fresh_spray_thresholds_are_inclusive_and_pass_over_refills(spark):
+    flow = lambda n, v, known=0: spark.createDataFrame([(1, "Z", f"r{k}", 1) for k in range(known)] + [(10, "A", f"r{k}", v) for k in range(n)], "ts long, frm string, dst string, v long")
+    found = lambda *a: [r["addr"] for r in scanners.sprays(flow(*a), "ts", 100, 200, 20, fresh_only=True).collect()]
+    assert found(20, 10) == ["A"] and found(19, 11) == [] and found(20, 9) == []
+    assert found(21, 10, 1) == ["A"] and found(20, 11, 1) == [] and found(20, 100, 20) == []
+
+
 def test_distribution_shapes(spark):
     smooth = [(f"s{k}", int(10_000_000 * 0.97**k) + k) for k in range(240)]
     held = lambda rows: spark.createDataFrame(rows, "addr string, balance long")
