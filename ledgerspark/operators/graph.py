@@ -119,13 +119,13 @@ def tier(total: Column, net: Column, big_bps: int = 2000, small_bps: int = 500)
 def ancestors(pairs: DataFrame, start: list[str], terminal: DataFrame, depth: int = 10, most_nodes: int | None = None) -> DataFrame:
     """(addr, depth, terminal): accounts that reach ``start`` against the flow, each at its least depth.
 
-    Terminals are listed but not expanded. ``most_nodes`` raises instead of cutting the result short.
+    Terminals are listed but not expanded, nor is a start that is one. ``most_nodes`` raises instead of cutting the result short.
     """
     spark = pairs.sparkSession
-    back = pairs.filter("frm <> dst").select("frm", "dst").distinct()
-    ends = terminal.select("addr").distinct().withColumn("terminal", F.lit(True))
-    frontier = spark.createDataFrame([(a, 0, False) for a in start], "addr string, depth int, terminal boolean")
-    found = checkpointed(frontier)
+    back = checkpointed(pairs.filter("frm <> dst").select("frm", "dst").distinct())
+    ends = checkpointed(terminal.select("addr").distinct().withColumn("terminal", F.lit(True)))
+    found = checkpointed(spark.createDataFrame([(a, 0, False) for a in start], "addr string, depth int, terminal boolean"))
+    frontier = found.join(ends.select("addr"), "addr", "left_anti")
     for level in range(1, depth + 1):
         live = frontier.filter(~F.col("terminal")).select(F.col("addr").alias("dst"))
         new = back.join(live, "dst", "left_semi").select(F.col("frm").alias("addr")).distinct().join(found.select("addr"), "addr", "left_anti")
