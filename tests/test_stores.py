@@ -103,3 +103,18 @@ def test_rounds_are_judged_when_the_watermark_has_passed(spark, tmp_path):
     jobs.run(jobs.share_alerts(stream, 10_000, 45, 100, "200 seconds"), str(tmp_path / "out"))
     got = sorted((r["addr"], r["at"], r["total"]) for r in jobs.written(session, str(tmp_path / "out")).collect())
     assert got == [("a", 10_001, 50), ("a", 10_006, 70)]
+
+
+@pytest.mark.parametrize("n", [3, 16, 70])
+def test_tree_digest_of_two_levels_is_that_of_its_sql(spark, monkeypatch, n):
+    """More lines than two levels hold, as the queries' SQL takes them; with a width of 4."""
+    import duckdb
+
+    from ledgerspark.plans import source_queries as q
+
+    lines = [f"line {k * 7 % 13}" for k in range(n)]
+    frame = spark.createDataFrame(list(enumerate(lines)), "k long, line string").repartition(5)
+    one = stores.tree_digest(frame, ["k"], "line", 4, q.DIGEST_LEVELS).first()
+    values = ",".join(f"({k}, 0, 0, '{x}')" for k, x in enumerate(lines))
+    sql = f"WITH ln AS (SELECT * FROM (VALUES {values}) x(k1, k2, k3, line)), {q.DIGEST_SQL} {q.DIGEST_OUT}".replace("1024", "4")
+    assert tuple(one) == duckdb.sql(sql).fetchall()[0]
