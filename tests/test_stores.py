@@ -118,3 +118,15 @@ def test_tree_digest_of_two_levels_is_that_of_its_sql(spark, monkeypatch, n):
     values = ",".join(f"({k}, 0, 0, '{x}')" for k, x in enumerate(lines))
     sql = f"WITH ln AS (SELECT * FROM (VALUES {values}) x(k1, k2, k3, line)), {q.DIGEST_SQL} {q.DIGEST_OUT}".replace("1024", "4")
     assert tuple(one) == duckdb.sql(sql).fetchall()[0]
+
+
+@pytest.mark.parametrize("name", ["ledger_digest", "ledger_documents"])
+def test_query_digests_have_the_levels_of_their_sql(spark, monkeypatch, name):
+    from functools import partial
+
+    from conftest import DATA, by_duckdb
+    from ledgerspark.plans import catalogue
+
+    small = str(DATA / "sf0.001")
+    monkeypatch.setattr(stores, "tree_digest", partial(stores.tree_digest, width=4))
+    assert tuple(catalogue.queries()[name](spark, small).first()) == tuple(by_duckdb(catalogue.oracle_sql()[name].replace("1024", "4"), small).iloc[0])
