@@ -242,7 +242,7 @@ def found_column(columns: list[str], names: tuple[str, ...]) -> str:
 def read_price_file(spark: SparkSession, path: str) -> DataFrame:
     """(ts, price) of CSV with columns of time and price by their names, or of JSON documents ``[[ts, price], …]`` or ``{"prices": [[ts, price], …]}``.
 
-    A JSON document is one row of one task, as it is one value. A document of another shape raises.
+    A JSON document is one row of one task, as it is one value. A document of another shape raises, and so do several in one file.
     """
     if not path.rstrip("/").endswith(".json"):
         rows = spark.read.option("header", True).csv(path)
@@ -250,6 +250,8 @@ def read_price_file(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("wholetext", True).text(path)
     pairs = "array<array<string>>"
     shape = F.coalesce(F.from_json("value", f"struct<prices:{pairs}>")["prices"], F.when(F.ltrim("value").startswith("["), F.from_json("value", pairs)))
+    # Pairs hold no brackets but their own, so an end without a comma before the next start is that of a whole document.
+    shape = F.when(~F.col("value").rlike(r"[\]}]\s*[\[{]"), shape)
     pair = F.explode(F.coalesce(shape, F.raise_error(F.lit(f"{path}: neither a list of pairs nor prices")).cast(pairs))).alias("p")
     return read_prices(text.select(pair).select(F.get("p", F.lit(0)).alias("t"), F.get("p", F.lit(1)).alias("v")), "t", "v")
 

@@ -130,3 +130,25 @@ def test_query_digests_have_the_levels_of_their_sql(spark, monkeypatch, name):
     small = str(DATA / "sf0.001")
     monkeypatch.setattr(stores, "tree_digest", partial(stores.tree_digest, width=4))
     assert tuple(catalogue.queries()[name](spark, small).first()) == tuple(by_duckdb(catalogue.oracle_sql()[name].replace("1024", "4"), small).iloc[0])
+
+
+def test_price_documents_lie_in_files_of_their_own(spark):
+    """Groups that are dealt over many tasks meet again in the same parts of a round robin."""
+    from conftest import DATA, by_duckdb, plain
+    from ledgerspark.plans import catalogue
+
+    small = str(DATA / "sf0.001")
+    other = spark.newSession()
+    for key, value in {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "50", "spark.sql.session.timeZone": "UTC"}.items():
+        other.conf.set(key, value)
+    assert plain(catalogue.queries()["price_files"](other, small).toPandas()) == plain(by_duckdb(catalogue.oracle_sql()["price_files"], small))
+
+
+def test_two_price_documents_in_one_file_raise(spark, tmp_path):
+    from ledgerspark.sources import files
+
+    (tmp_path / "a.json").write_text('{"prices": [[1, 2.5], [2, "3"]], "caps": [[1, 7]]}')
+    assert sorted(map(tuple, files.read_price_file(spark, str(tmp_path / "a.json")).collect())) == [(1, 2.5), (2, 3.0)]
+    (tmp_path / "b.json").write_text("[[1, 2.5]] [[2, 3.5]]")
+    with pytest.raises(Exception, match="neither"):
+        files.read_price_file(spark, str(tmp_path / "b.json")).collect()
