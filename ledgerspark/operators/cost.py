@@ -151,6 +151,25 @@ def fee_shares(swaps: DataFrame, positions: DataFrame, fee_ppm: int) -> DataFram
     return real.filter("n_upper > n_lower").groupBy("owner").agg(F.sum(gained).alias("fee"))
 
 
+def range_totals(points: DataFrame, at: str, ranges: DataFrame, owner: str, low: str, high: str) -> DataFrame:
+    """(owner, n, total): number and sum of the ``at`` of ``points`` in the owner's closed ranges of longs; owners without any are left out.
+
+    No point meets a range: running sums along the places of points and ends are taken once, and a range gets their difference at its two ends.
+    """
+    real = ranges.filter(F.col(low) <= F.col(high)).select(F.col(owner).alias("_owner"), F.col(low).alias("_low"), (F.col(high) + 1).alias("_high"))
+    placed = points.filter(F.col(at).isNotNull()).groupBy(F.col(at).alias("at")).agg(F.count("*").alias("n"))
+    ends = real.select(F.explode(F.array("_low", "_high")).alias("at")).distinct()
+    steps = by_ranges(placed.join(ends, "at", "full").fillna(0, ["n"]), "at")
+    own = F.col("at").cast("decimal(38,0)") * F.col("n")
+    sums = running(running(steps, ["at"], F.col("n"), "_n"), ["at"], own, "_total")
+    # What lies before a place: the sums up to it without its own.
+    before = checkpointed(sums.join(ends, "at", "left_semi").select("at", (F.col("_n") - F.col("n")).alias("n"), (F.col("_total") - own).cast("decimal(38,0)").alias("total")))
+    for end in ("_low", "_high"):
+        real = real.join(before.select(F.col("at").alias(end), F.col("n").alias(f"n{end}"), F.col("total").alias(f"total{end}")), end)
+    out = real.groupBy(F.col("_owner").alias(owner)).agg(F.sum(F.col("n_high") - F.col("n_low")).alias("n"), F.sum(F.col("total_high") - F.col("total_low")).alias("total"))
+    return out.filter("n > 0")
+
+
 def net_buy_cost(trades: DataFrame) -> DataFrame:
     """(addr, segment, holding, cost): net paid per unit held in each stretch between full exits. ``trades``: (addr, ts, seq, amount, price), sales negative."""
     order = ["ts", "seq"]

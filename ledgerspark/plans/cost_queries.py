@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.joins import interval_join
 from ledgerspark.functions.ranges import by_ranges, running
 from ledgerspark.operators import cost, graph, ledger, methods, sequence
 from ledgerspark.plans.registry import longs, register
@@ -255,7 +254,8 @@ def swaps_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = key * 37 % 5000
     width = F.when(key % 4 == 0, 0).when(key % 4 == 1, 9).when(key % 4 == 2, 170).otherwise(3000)
     positions = table(spark, sf_dir, "customer").select(key.alias("owner"), lower.alias("lower"), (lower + width).alias("upper"))
-    return interval_join(swaps, "tick", positions, "lower", "upper").groupBy("owner").agg(F.count("*").alias("swaps"), F.sum("tick").alias("ticks"))
+    found = cost.range_totals(swaps, "tick", positions, "owner", "lower", "upper")
+    return longs(found.select("owner", F.col("n").alias("swaps"), F.col("total").alias("ticks")), "ticks")
 
 
 @register("SELECT pr.a, pr.b, count(*) AS timed FROM pr JOIN ho x ON x.member = pr.a JOIN ho y ON y.member = pr.b AND y.item = x.item WHERE abs(x.ts - y.ts) <= 172800 GROUP BY pr.a, pr.b", FLOW_SQL, TOKEN_SQL)

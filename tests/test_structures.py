@@ -64,6 +64,29 @@ def test_interval_join_equals_comparison(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_range_totals_equal_all_pairs(spark):
+    rng = random.Random(7)
+    points = [rng.choice([rng.randint(-50, 50), 7]) for _ in range(400)] + [None] * 3
+    ranges = [(k % 50, low, low + rng.choice([-1, 0, 1, 9, 60])) for k in range(90) for low in [rng.randint(-80, 80)]]
+    frame = spark.createDataFrame([(p,) for p in points], "p long")
+    result = cost.range_totals(frame, "p", spark.createDataFrame(ranges, "r long, low long, high long"), "r", "low", "high")
+    want = {}
+    for owner, low, high in ranges:
+        for p in points:
+            if p is not None and low <= p <= high:
+                n, total = want.get(owner, (0, 0))
+                want[owner] = n + 1, total + p
+    assert {r["r"]: (r["n"], int(r["total"])) for r in result.collect()} == want
+
+
+def test_no_point_meets_a_range_in_swaps_in_range(spark):
+    """One row for each swap in a range would be more rows than the tables have."""
+    from ledgerspark.plans import catalogue
+
+    plan = catalogue.queries()["swaps_in_range"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cell" not in plan and "_line" not in plan
+
+
 def test_grid_join_of_a_hot_key(spark):
     a = spark.createDataFrame([(k % 3 and 9, k) for k in range(300)], "key long, x long")
     b = spark.createDataFrame([(k % 2 and 9, k) for k in range(40)], "key long, y long")
