@@ -46,6 +46,22 @@ def range_cells(low: Column, high: Column) -> Column:
     return F.when(low <= high, cells)
 
 
+def range_blocks(low: Column, high: Column) -> Column:
+    """Array of (level, cell) of a closed range of longs: the aligned cells of 2^level numbers that make it up exactly, at most two of each level. An empty range has none."""
+    # One more than needed, as the logarithm is rounded.
+    level = F.sequence(F.lit(0), F.floor(F.log2((high - low + 1).cast("double"))).cast("int") + 1)
+
+    def of(k: Column) -> Column:
+        shift = lambda x: F.call_function("shiftright", x, k)
+        # Cells of this level that lie in the range are those from first to before end; an odd first and an odd end have no place in the level above.
+        first, end = -shift(-low), shift(high + 1)
+        here = lambda x: F.struct(k.alias("level"), x.alias("cell"))
+        odd = lambda x: (x.bitwiseAND(F.lit(1).cast("long")) == 1) & (first < end)
+        return F.array_compact(F.array(F.when(odd(first), here(first)), F.when(odd(end), here(end - 1))))
+
+    return F.when(low <= high, F.flatten(F.transform(level, of)))
+
+
 def interval_join(points: DataFrame, at: str, ranges: DataFrame, low: str, high: str) -> DataFrame:
     """``points`` and ``ranges`` of longs with ``low`` <= ``at`` <= ``high``; column names must differ.
 

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerspark.functions.joins import range_blocks
 from ledgerspark.functions.ranges import PART, by_ranges, last_known, running
+from ledgerspark.functions.shared import checkpointed
 from ledgerspark.sources.adapters import SINKS, ZERO
 
 
@@ -135,9 +137,18 @@ def code_matches(codes: DataFrame, known: DataFrame) -> DataFrame:
 
     ``codes``: (addr, hash, selectors, size); ``known``: (name, hash, selectors, size). The least name of the better way counts.
     """
-    k = known.select("name", F.col("hash").alias("_h"), F.col("selectors").alias("_s"), F.col("size").alias("_n"))
-    exact = codes.join(k, F.col("hash") == F.col("_h")).select("addr", "name", F.lit("exact").alias("how"))
-    near = codes.join(k, (F.col("selectors") == F.col("_s")) & (F.abs(F.col("size") - F.col("_n")) * 50 <= F.greatest(F.col("_n"), F.lit(3200)))).select("addr", "name", F.lit("similar").alias("how"))
+    # The least name stands for all known codes with one hash, and for all whose band of sizes has a block: a code looks names up and meets no other code.
+    exact = codes.join(known.groupBy("hash").agg(F.min("name").alias("name")), "hash").select("addr", "name", F.lit("exact").alias("how"))
+    size = F.col("size").cast("long")
+    slack = F.floor(F.greatest(size, F.lit(3200)) / 50).cast("long")
+    bands = known.filter("size is not null").groupBy("selectors", "size").agg(F.min("name").alias("name"))
+    blocks = bands.select("selectors", "name", F.explode(range_blocks(size - slack, size + slack)).alias("_b")).groupBy("selectors", "_b.level", "_b.cell").agg(F.min("name").alias("name"))
+    blocks = checkpointed(blocks)
+    # At most 63 numbers.
+    levels = [r["level"] for r in blocks.select("level").distinct().collect()]
+    kinds = codes.select("selectors", size.alias("size")).distinct().withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    met = kinds.withColumn("cell", F.call_function("shiftright", F.col("size"), F.col("level"))).join(blocks, ["selectors", "level", "cell"])
+    near = codes.join(met.groupBy("selectors", "size").agg(F.min("name").alias("name")), ["selectors", "size"]).select("addr", "name", F.lit("similar").alias("how"))
     return exact.unionByName(near).groupBy("addr").agg(F.min(F.struct("how", "name")).alias("_b")).select("addr", "_b.name", "_b.how")
 
 

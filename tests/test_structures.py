@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerspark.functions.joins import grid_join, hub_join, interval_join
-from ledgerspark.operators import bridges, cost, graph, labels, methods, reconcile, sensitivity, sequence, setjoin
+from ledgerspark.functions.joins import grid_join, hub_join, interval_join, range_blocks
+from ledgerspark.operators import bridges, cost, graph, labels, methods, reconcile, selection, sensitivity, sequence, setjoin
 
 
 def _side(edges, start, without):
@@ -232,3 +233,28 @@ def test_pull_leverage_on_known_days(spark):
     days = [(1, 10, 1000, 5), (3, 10, 1000, 7), (4, 15, 1000, 0), (6, 20, 1000, 8), (8, 5, 1000, 0), (9, 15, 1000, 0), (20, 1, 1, 1), (30, 2, 1000, 0), (35, 4, 1000, 0)]
     found = {r["day"]: (int(r["cap_change"]), int(r["turnover"]), r["leverage"]) for r in methods.pull_leverage(spark.createDataFrame(days, "day long, close long, supply long, volume long"), 5).collect()}
     assert found == {6: (10_000, 15, 666_666), 8: (-5_000, 8, 625_000), 9: (0, 8, 0), 35: (2_000, 0, None)}
+
+
+def test_range_blocks_make_up_the_range(spark):
+    rng = random.Random(8)
+    ranges = [(low, low + rng.choice([-1, 0, 1, 2, 3, 7, 8, 31, 100])) for low in (rng.randint(-70, 70) for _ in range(80))]
+    got = spark.createDataFrame(ranges, "low long, high long").select("low", "high", range_blocks(F.col("low"), F.col("high")).alias("b")).collect()
+    for r in got:
+        assert sorted(x for b in r["b"] or [] for x in range(b["cell"] << b["level"], (b["cell"] + 1) << b["level"])) == list(range(r["low"], r["high"] + 1))
+
+
+def test_codes_match_as_all_pairs_would_and_meet_by_equality(spark):
+    rng = random.Random(9)
+    some = lambda *x: rng.choice([*x, None])
+    codes = [(k, some("h1", "h2", "h3"), some("s1", "s2"), some(rng.randint(-100, 9000), 1000)) for k in range(150)]
+    known = [(f"K{k}", some("h1", "h4"), some("s1", "s2", "s3"), some(rng.randint(0, 9000), 936, 1064)) for k in range(12)]
+    want = {}
+    for addr, h, s, n in codes:
+        ways = [("exact", name) for name, kh, _, _ in known if h is not None and h == kh]
+        ways += [("similar", name) for name, _, ks, kn in known if None not in (s, n, kn) and s == ks and abs(n - kn) * 50 <= max(kn, 3200)]
+        if ways:
+            want[addr] = min(ways)
+    got = selection.code_matches(spark.createDataFrame(codes, "addr long, hash string, selectors string, size long"), spark.createDataFrame(known, "name string, hash string, selectors string, size long"))
+    assert {r["addr"]: (r["how"], r["name"]) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "* 50" not in plan
