@@ -152,3 +152,11 @@ def test_two_price_documents_in_one_file_raise(spark, tmp_path):
     (tmp_path / "b.json").write_text("[[1, 2.5]] [[2, 3.5]]")
     with pytest.raises(Exception, match="neither"):
         files.read_price_file(spark, str(tmp_path / "b.json")).collect()
+
+
+def test_rounds_below_the_amount_are_left_out_before_the_state(spark):
+    """Python and its state see what a windowed sum has let through only."""
+    session = jobs.with_timers(spark)
+    stream = session.readStream.format("rate").load().select(F.col("value").cast("string").alias("addr"), F.col("timestamp").alias("at"), F.unix_timestamp("timestamp").alias("ts"), F.col("value").alias("v"))
+    plan = jobs.share_alerts(stream, 10_000, 45, 100, "200 seconds")._jdf.queryExecution().analyzed().toString()
+    assert plan.index("TransformWithState") < plan.index("Filter (total") < plan.index("Aggregate")
