@@ -36,3 +36,23 @@ def same(spark, name: str, folder: str) -> int:
 ])
 def test_ancestors_of_a_busy_start_and_through_nothing(spark, tmp_path, events, rows):
     assert same(spark, "ancestors_bfs", altered(tmp_path, events=events)) == rows
+
+
+def test_waves_derive_the_ledger_once(spark, monkeypatch):
+    from ledgerspark.plans import deep_queries
+
+    calls, derived = [], deep_queries.trade_ledger
+    monkeypatch.setattr(deep_queries, "trade_ledger", lambda *a: calls.append(a) or derived(*a))
+    catalogue.queries()["wave_segments"](spark, str(SMALL))
+    assert len(calls) == 1
+
+
+def test_stability_replays_once(spark, monkeypatch):
+    from ledgerspark.operators import provenance
+
+    done, kept = [], __import__("ledgerspark.functions.shared", fromlist=["checkpointed"])
+    real = kept.checkpointed
+    found = spark.createDataFrame([("e", p, "MINT", 5.0) for p in provenance.POLICIES], "entity string, policy string, kind string, amount double")
+    monkeypatch.setattr(kept, "checkpointed", lambda df: done.append(df.columns) or real(df))
+    one = provenance.stability(found, spark.createDataFrame([("e", 5)], "entity string, balance long"), spark.createDataFrame([(5,)], "net long")).first()
+    assert (one["agree"], one["stable"], one["fifo"]) == (True, True, "MINT") and done == [found.columns]
