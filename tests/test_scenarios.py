@@ -7,6 +7,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark.operators import cost, curve25519, ledger, labels, methods, provenance, reconcile, scanners, waves, wide
 from ledgerspark.sources import files
@@ -233,7 +234,7 @@ def test_provenance_of_few_entities_by_shared_ranges_is_that_of_dealt_transfers(
     rng = random.Random(11)
     names = ["ZERO", "P", *(f"A{k}" for k in range(12))]
     rows = [(k // 3, k, rng.choice(names), rng.choice(names), rng.randint(1, 50)) for k in range(900)]
-    frame = spark.createDataFrame([(*r, r[0] % 4 > 0) for r in rows], "ts long, seq long, frm string, dst string, v long, exact boolean")
+    frame = spark.createDataFrame([(*r, r[0] % 4 > 0) for r in rows], "ts long, seq long, frm string, dst string, v long, exact boolean").withColumn("kind", F.lit("view"))
     members = spark.createDataFrame([(f"e{k}", f"A{k}") for k in range(5)] + [("e0", "A7"), ("e1", "P")], "entity string, addr string")
     nodes = provenance.subgraphs(frame, members, spark.createDataFrame(ENDS, "addr string, kind string"))
     shared = provenance.simulated(frame, nodes, ["ts"], "exact", "seq", (policy,))
